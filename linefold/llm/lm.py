@@ -262,6 +262,14 @@ def _sums(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(x, np.cumsum(sizes) - sizes)
 
 
+def _sorted(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and their counts, by way of Arrow: 16 bytes a word."""
+    got = counts.select("hash", "c").toArrow()
+    keys = got.column("hash").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], got.column("c").to_numpy()[order]
+
+
 SCHEMA = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -276,8 +284,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small = model.types * WORD_BYTES <= BROADCAST_BYTES
-    kept = counts.toPandas().sort_values("hash") if small else None
-    sent = spark.sparkContext.broadcast((model, kept["hash"].to_numpy() if small else None, kept["c"].to_numpy() if small else None))
+    sent = spark.sparkContext.broadcast((model, *(_sorted(counts) if small else (None, None))))
     base_log = lambda c: np.log10((c + 1) / (model.tokens + model.types + 1))
     rare_log = lambda c: np.log10((c + 1) / (model.rare_tokens + model.rare_types + 1))
 
