@@ -2,5 +2,38 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .functions.dialect import Duck, Spark
+from .plans import images, lines
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+PLANS = {**lines.PLANS, **images.PLANS}
+
+
+def tables_of(sql: str) -> list[str]:
+    """The test tables that a plan reads."""
+    return [t for t in TABLES if re.search(rf"\b(?:from|join) {t}\b", sql)]
+
+
+def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A plan as a query over the Parquet tables of a folder.
+
+    The tables are named by path inside the plan, so nothing is registered in the
+    session and two folders can be read at a time.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql = plan(Spark)
+        for name in tables_of(sql):
+            sql = re.sub(rf"\b(from|join) {name}\b", rf"\1 parquet.`{sf_dir.rstrip('/')}/{name}.parquet`", sql)
+        return spark.sql(sql)
+
+    return run
+
+
+QUERIES = {name: query(plan) for name, plan in PLANS.items()}
+SQL = {name: plan(Duck) for name, plan in PLANS.items()}
