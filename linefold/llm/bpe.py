@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Distinct pre-tokens that a worker remembers; beyond, it begins anew.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 18
 #: Texts are encoded in runs of about so many characters, to bound memory.
-RUN_CHARS = 4 << 20
+RUN_CHARS = 1 << 20
 
 
 class PerfectHash:
