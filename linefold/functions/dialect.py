@@ -23,6 +23,35 @@ class Spark:
     def first(x: str, pattern: str, group: int = 1) -> str:
         return f"regexp_extract({x}, r'{pattern}', {group})"
 
+    @staticmethod
+    def count_of(x: str, characters: str) -> str:
+        """How many characters of a text are among the given ones."""
+        return f"(length({x}) - length(translate({x}, r'{characters}', '')))"
+
+    @staticmethod
+    def once(source: str, **columns: str) -> str:
+        """Adds computed columns, each evaluated once a row.
+
+        A filter on a plain alias is pushed below it and repeats its expression at
+        every mention; nothing is pushed below a generator's own output.
+        """
+        fields = ", ".join(f"'{k}', {v}" for k, v in columns.items())
+        return f"select * from ({source}) lateral view inline(array(named_struct({fields}))) as {', '.join(columns)}"
+
+    @staticmethod
+    def earliest(source: str, keys: str, order: str, payload: str = "") -> str:
+        """The first row of each key, as an aggregate: it is combined before the
+        shuffle, so a text with very many copies never makes one large window."""
+        kept = [c.strip() for c in f"{order}, {payload}".split(",") if c.strip()]
+        return f"select {keys}, {', '.join(f'm.{c}' for c in kept)} from (select {keys}, min(struct({', '.join(kept)})) as m from ({source}) group by {keys})"
+
+    @staticmethod
+    def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
+        """One row for each listed tuple of expressions over the source's row."""
+        fields = [n.strip() for n in names.split(",")]
+        tuples = ", ".join(f"struct({', '.join(f'{v} as {f}' for v, f in zip(t, fields))})" for t in values)
+        return f"select {keep + ', ' if keep else ''}{names} from ({source}) lateral view inline(array({tuples})) as {names}"
+
     @staticmethod
     def draw(*parts: str) -> str:
         """A number in [0, 2**32) from a digest of the parts."""
@@ -56,10 +85,11 @@ class Spark:
     @staticmethod
     def pieces(src: str, dst: str, lower: bool) -> str:
         fold = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if lower else "piece"
-        return rf"""select doc_id, source, lang, line_no, piece_no, trim(regexp_replace(translate({fold}, '{src}', '{dst}'), r'\s+', ' ')) as t
+        return rf"""select doc_id, source, lang, line_no, piece_no, t
           from (select doc_id, source, lang, text from documents where text is not null)
           lateral view posexplode(split(text, '\n')) as line_no, line
-          lateral view posexplode(split(line, r'\. ')) as piece_no, piece"""
+          lateral view posexplode(split(line, r'\. ')) as piece_no, piece
+          lateral view explode(array(trim(regexp_replace(translate({fold}, '{src}', '{dst}'), r'\s+', ' ')))) as t"""
 
 
 class Duck(Spark):
@@ -77,6 +107,26 @@ class Duck(Spark):
     def first(x: str, pattern: str, group: int = 1) -> str:
         return f"regexp_extract({x}, '{pattern}', {group})"
 
+    @staticmethod
+    def count_of(x: str, characters: str) -> str:
+        return f"(length({x}) - length(translate({x}, '{characters}', '')))"
+
+    @staticmethod
+    def once(source: str, **columns: str) -> str:
+        return f"select *, {', '.join(f'{v} as {k}' for k, v in columns.items())} from ({source})"
+
+    @staticmethod
+    def earliest(source: str, keys: str, order: str, payload: str = "") -> str:
+        kept = ", ".join(c for c in (keys, order, payload) if c)
+        return f"select {kept} from (select *, row_number() over (partition by {keys} order by {order}) as rn from ({source})) where rn = 1"
+
+    @staticmethod
+    def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
+        fields = [n.strip() for n in names.split(",")]
+        tuples = ", ".join(f"row({', '.join(t)})" for t in values)
+        picked = ", ".join(f"r[{i}] as {f}" for i, f in enumerate(fields, 1))
+        return f"select {keep + ', ' if keep else ''}{picked} from (select *, unnest([{tuples}]) as r from ({source}))"
+
     @staticmethod
     def draw(*parts: str) -> str:
         return f"cast('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) as bigint)"

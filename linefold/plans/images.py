@@ -15,7 +15,7 @@ def pixels(d) -> str:
 def measures(d) -> str:
     """Mean and deviation of all, foreground (< 160) and background pixels."""
     return f"""select vec_id, coalesce(avg(case when v < 160 then v end), 0) as fg, coalesce(avg(case when v >= 160 then v end), 255) as bg,
-      avg(v) as mean, stddev_pop(v) as sd, count_if(v < 160) as n_fg, count(*) as n from ({pixels(d)}) group by vec_id"""
+      avg(v) as mean, stddev_pop(v) as sd, count(*) filter (where v < 160) as n_fg, count(*) as n from ({pixels(d)}) group by vec_id"""
 
 
 def readability(d) -> str:
@@ -34,7 +34,7 @@ PLANS = {
     "gray_fade": lambda d: f"select vec_id, cast(sum(cast(floor(60 + v / 255.0e0 * (240 - 60)) as int)) as bigint) as faded from ({pixels(d)}) group by vec_id",
     "attempt_blend": lambda d: f"select vec_id, cast(sum(cast(floor(0.4e0 * v + 0.6e0 * (60 + v / 255.0e0 * 180)) as int)) as bigint) as blended from ({pixels(d)}) group by vec_id",
     "pixel_scale": lambda d: f"select vec_id, round(sum(v / 255.0e0), 6) as total, round(sum(1 - v / 255.0e0), 6) as inverted from ({pixels(d)}) group by vec_id",
-    "continuity": lambda d: f"select vec_id, case when count_if(v < 160) = 0 then 1.0e0 else round(1.0e0 * count_if(v < 120) / count_if(v < 160), 6) end as continuity from ({pixels(d)}) group by vec_id",
+    "continuity": lambda d: f"select vec_id, case when count(*) filter (where v < 160) = 0 then 1.0e0 else round(1.0e0 * count(*) filter (where v < 120) / count(*) filter (where v < 160), 6) end as continuity from ({pixels(d)}) group by vec_id",
     "resize_dims": lambda d: f"select doc_id, greatest(1, cast({d.half_even('w * 64.0e0 / h', 0)} as bigint)) as new_w, 64 as new_h from ({sizes()})",
     "width_cap": lambda d: f"select doc_id, w, w > 2000 as too_wide from ({sizes()})",
     "dimension_bounds": lambda d: f"select doc_id, case when h < 15 or h > 250 then 'unusual_height' when w < 30 or w > 4000 then 'unusual_width' else 'ok' end as verdict from ({sizes()})",

@@ -7,6 +7,7 @@ SRC = "abcdefghijklmnopqrstuvwxyz."
 DST = "ाबचदेफगहिजकलमनोपखरसतुव्षयं।"
 DIGITS = "०१२३४५६७८९"
 MATRAS = ["ा", "ि", "ी", "ु", "ू", "ृ", "े", "ै", "ो", "ौ", "ं", "ँ"]
+REQUIRED = ["।", "॥", "्", *DIGITS]
 DOMAINS = {"en": 3, "fr": 2, "de": 1, "es": 0}
 KEY = "doc_id, line_no, piece_no"
 
@@ -15,12 +16,23 @@ def lines(d, lower: bool = True) -> str:
     return d.pieces(SRC, DST, lower)
 
 
+def span(*pairs: str) -> str:
+    """The characters of ranges such as ``az``, written out."""
+    return "".join(chr(c) for first, last in pairs for c in range(ord(first), ord(last) + 1))
+
+
 def counted(d, source: str) -> str:
     """Adds the character-class counts that the rules need, each taken once."""
-    n = lambda keep: f"length({d.replace('t', f'[^{keep}]')})"
-    return f"""select *, length(t) as n, {n('ऀ-ॿ')} as n_dev, {n('ऀ-ॣ॰-ॿ')} as n_letters, {n('a-zA-Z')} as n_latin,
-      {n('0-9')} as n_digits, {n(r':.=_*#@%/|\\-')} as n_symbols,
-      {n(r':.=_*#@%/|\\()<>+`$;?,!^&~€£₹{}"“”‘’\[\]-')} as n_label_symbols from ({source})"""
+    return d.once(
+        source,
+        n="length(t)",
+        n_dev=d.count_of("t", span("ऀॿ")),
+        n_letters=d.count_of("t", span("ऀॣ", "॰ॿ")),
+        n_latin=d.count_of("t", span("az", "AZ")),
+        n_digits=d.count_of("t", span("09")),
+        n_symbols=d.count_of("t", ":.-=_*#@%/|\\"),
+        n_label_symbols=d.count_of("t", ":.-=_*#@%/|\\()<>+`$;?,!^&~€£₹{}\"“”‘’[]"),
+    )
 
 
 def first_pass(d) -> str:
@@ -31,12 +43,12 @@ def first_pass(d) -> str:
             d.like("t", ":{3,}[0-9]+"), d.like("t", ":{2,}[0-9]+:{2,}"), "n_symbols > 0.20 * n", d.like("t", r"\S{40,}"),
         ]
     )
-    return f"""select *, case when n < 5 then 'too_short' when n_dev = 0 then 'no_devanagari'
+    reason = f"""case when n < 5 then 'too_short' when n_dev = 0 then 'no_devanagari'
       when n_letters < 2 then 'insufficient_devanagari_letters' when n_latin > 0.15 * n then 'too_much_latin'
       when n_dev < 0.40 * n then 'insufficient_devanagari_ratio'
       when {d.like('t', r'[^a-zA-Z0-9ऀ-ॿ\s।॥]{3,}')} then 'consecutive_junk_symbols'
-      when {junk} then 'ocr_junk_filter' else 'keep' end as reason
-      from ({counted(d, lines(d, False))})"""
+      when {junk} then 'ocr_junk_filter' else 'keep' end"""
+    return d.once(counted(d, lines(d, False)), reason=reason)
 
 
 def label_rules(d) -> str:
@@ -44,13 +56,13 @@ def label_rules(d) -> str:
     reference = " or ".join(
         [d.like("t", "अशुद्ध|शुद्ध अशुद्ध|बिषय-सूची|विषय-सूची|सूची-पत्र|सहायक ग्रन्थ"), d.like("t", "(ऐजन|एैजन|एजन)\\s*(पृ|पू)[.]"), d.like("t", "पृष्ठ\\s*[०-९0-9]+")]
     )
-    return f"""select *, case when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'contains_ascii_digit'
+    reason = f"""case when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'contains_ascii_digit'
       when {d.like('t', '[_|&%€$£₹]')} then 'bad_ocr_symbols' when {d.like('t', '[«»\\[\\]]')} then 'brackets_or_guillemets'
       when n_letters < 4 then 'fragment_like_too_few_letters' when n < 12 and n - n_letters > 0.60 * n then 'fragment_like_mostly_non_letters'
       when n_dev < 0.50 * n then 'low_devanagari_ratio' when n_latin > 0 then 'ocr_junk_latin'
       when {d.like('t', r'\S{40,}')} then 'ocr_junk_long_word' when n_label_symbols > 0.15 * n then 'symbol_heavy'
-      when {reference} then 'reference_or_frontmatter_fragment' else 'keep' end as reason
-      from ({counted(d, lines(d))})"""
+      when {reference} then 'reference_or_frontmatter_fragment' else 'keep' end"""
+    return d.once(counted(d, lines(d)), reason=reason)
 
 
 def flags(t: str = "t") -> str:
@@ -64,8 +76,7 @@ def padded(n: str) -> str:
 
 def kept(d) -> str:
     """Kept lines, the first of each text over all sources."""
-    return f"""select doc_id, line_no, piece_no, source, lang, t from (
-      select *, row_number() over (partition by t order by {KEY}) as rn from ({label_rules(d)}) where reason = 'keep') where rn = 1"""
+    return f"select {KEY}, source, lang, t from ({d.earliest(f'select * from ({label_rules(d)}) where reason = {chr(39)}keep{chr(39)}', 't', KEY, 'source, lang')})"
 
 
 def labels(d) -> str:
@@ -80,6 +91,11 @@ def domain_rank(x: str) -> str:
     return f"case {x} {' '.join(f'when {chr(39)}{k}{chr(39)} then {v}' for k, v in DOMAINS.items())} else -1 end"
 
 
+def ranked(d) -> str:
+    """Lines with text; ``low`` is smaller for a domain of more weight."""
+    return f"select *, -({domain_rank('lang')}) as low from ({lines(d)}) where t <> ''"
+
+
 PLANS = {
     "scan_lines": lambda d: lines(d),
     "char_class_counts": lambda d: f"select {KEY}, n, n_dev, n_letters, n_latin, n_digits, n_symbols, n_label_symbols from ({counted(d, lines(d, False))})",
@@ -95,7 +111,7 @@ PLANS = {
     "reject_matrix": lambda d: f"""with r as ({label_rules(d)}), s as (select distinct source from documents), k as (select distinct reason from r),
       c as (select source, reason, count(*) as n from r group by source, reason)
       select s.source, k.reason, coalesce(c.n, 0) as n from s cross join k left join c on s.source = c.source and k.reason = c.reason""",
-    "dedup_file": lambda d: f"select source, {KEY}, t from (select *, row_number() over (partition by source, t order by {KEY}) as rn from ({first_pass(d)}) where reason = 'keep') where rn = 1",
+    "dedup_file": lambda d: f"select source, {KEY}, t from ({d.earliest(f'select * from ({first_pass(d)}) where reason = {chr(39)}keep{chr(39)}', 'source, t', KEY)})",
     "dedup_global": kept,
     "line_ids": lambda d: f"select line_id, source_id, t from ({labels(d)})",
     "split_lookup": lambda d: f"select split, count(*) as n from ({labels(d)}) group by split",
@@ -103,27 +119,27 @@ PLANS = {
     "sort_core": lambda d: f"select line_id, t from ({labels(d)}) order by line_id",
     "sort_final": lambda d: f"select line_id, {domain_rank('domain')} as priority from ({labels(d)}) order by priority desc, line_id",
     "cleaning_stats": lambda d: f"""select source, count(*) as raw_lines, sum(case when reason = 'keep' then 1 else 0 end) as cleaned_lines, sum(case when reason <> 'keep' then 1 else 0 end) as removed_lines,
-      cast(sum(n) as bigint) as n_chars, cast(sum(n_dev) as bigint) as n_devanagari from ({first_pass(d)}) group by source""".replace("sum(case", "count_if(1 = case"),
+      cast(sum(n) as bigint) as n_chars, cast(sum(n_dev) as bigint) as n_devanagari from ({first_pass(d)}) group by source""".replace("sum(case", "count(*) filter (where 1 = case"),
     "sum_stats": lambda d: f"select count(*) as raw_lines, cast(sum(case when reason = 'keep' then 1 else 0 end) as bigint) as cleaned_lines from ({first_pass(d)})",
     "len_stats": lambda d: f"select coalesce(min(line_length), 0) as min_length, coalesce(max(line_length), 0) as max_length, round(coalesce(avg(line_length), 0), 6) as avg_length from ({labels(d)})",
-    "flag_counts": lambda d: f"select domain, count(*) as n, count_if(has_danda) as danda, count_if(has_double_danda) as double_danda, count_if(has_digit) as digit, count_if(has_conjunct) as conjunct from ({labels(d)}) group by domain",
-    "domain_split_pivot": lambda d: f"select domain, count_if(split = 'train') as train, count_if(split = 'val') as val, count_if(split = 'test') as test, count(*) as total from ({labels(d)}) group by domain",
+    "flag_counts": lambda d: f"select domain, count(*) as n, count(*) filter (where has_danda) as danda, count(*) filter (where has_double_danda) as double_danda, count(*) filter (where has_digit) as digit, count(*) filter (where has_conjunct) as conjunct from ({labels(d)}) group by domain",
+    "domain_split_pivot": lambda d: f"select domain, count(*) filter (where split = 'train') as train, count(*) filter (where split = 'val') as val, count(*) filter (where split = 'test') as test, count(*) as total from ({labels(d)}) group by domain",
     "pct_share": lambda d: f"select domain, count(*) as n, round(100.0e0 * count(*) / sum(count(*)) over (), 6) as pct from ({labels(d)}) group by domain",
     "split_presence": lambda d: f"select count(distinct split) = 3 as all_present, count(distinct split) as n_splits from ({labels(d)}) where split in ('train', 'val', 'test')",
     "validate_text": lambda d: f"""select {KEY}, case when trim(t) = '' then 'blank' when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'ascii_digit'
       when n_latin > 0 then 'latin_letter' when {d.like('t', '[_|&%€$£₹«»\\[\\]]')} then 'bad_symbol' when n_dev = 0 then 'no_devanagari' else 'ok' end as verdict from ({counted(d, lines(d))})""",
     "validate_final": lambda d: f"""select {KEY}, concat_ws(',', case when trim(t) = '' then 'blank' end, case when n_digits > 0 then 'ascii_digits' end, case when n_latin > 0 then 'latin_letters' end,
       case when {d.like('t', '[_|&%€$£₹«»\\[\\]]')} then 'bad_symbols' end, case when n < 5 then 'short' end, case when n > 160 then 'long' end, case when n_dev = 0 then 'no_devanagari' end) as problems from ({counted(d, lines(d))})""",
-    "validate_core": lambda d: f"""select count(*) - count(distinct line_id) as duplicate_ids, count_if(trim(t) = '') as blank, count_if(line_length < 5) as short, count_if(line_length > 160) as long,
-      count_if(split is null) as missing_split from ({labels(d)})""",
-    "qa_verdict": lambda d: f"select case when count(*) - count(distinct line_id) + count_if(line_length < 5 or line_length > 160) = 0 then 'PASS' else 'FAIL' end as verdict from ({labels(d)})",
-    "success_rate": lambda d: f"select count(*) as attempted, count_if(reason = 'keep') as passed, round(100.0e0 * count_if(reason = 'keep') / count(*), 6) as rate from ({label_rules(d)})",
-    "priority_dedup_final": lambda d: f"select {KEY}, lang, t from (select *, row_number() over (partition by t order by {domain_rank('lang')} desc, {KEY}) as rn from ({lines(d)}) where t <> '') where rn = 1",
-    "priority_dedup_core": lambda d: f"select {KEY}, source, t from (select *, row_number() over (partition by t order by {domain_rank('lang')} desc, source, {KEY}) as rn from ({lines(d)}) where t <> '') where rn = 1",
+    "validate_core": lambda d: f"""select count(*) - count(distinct line_id) as duplicate_ids, count(*) filter (where trim(t) = '') as blank, count(*) filter (where line_length < 5) as short, count(*) filter (where line_length > 160) as long,
+      count(*) filter (where split is null) as missing_split from ({labels(d)})""",
+    "qa_verdict": lambda d: f"select case when count(*) - count(distinct line_id) + count(*) filter (where line_length < 5 or line_length > 160) = 0 then 'PASS' else 'FAIL' end as verdict from ({labels(d)})",
+    "success_rate": lambda d: f"select count(*) as attempted, count(*) filter (where reason = 'keep') as passed, round(100.0e0 * count(*) filter (where reason = 'keep') / count(*), 6) as rate from ({label_rules(d)})",
+    "priority_dedup_final": lambda d: f"select {KEY}, lang, t from ({d.earliest(ranked(d), 't', f'low, {KEY}', 'lang')})",
+    "priority_dedup_core": lambda d: f"select {KEY}, source, t from ({d.earliest(ranked(d), 't', f'low, source, {KEY}')})",
     "dup_pairs": lambda d: f"""select {KEY}, kept_doc, kept_line, kept_piece from (select *, first_value(doc_id) over w as kept_doc, first_value(line_no) over w as kept_line, first_value(piece_no) over w as kept_piece, row_number() over w as rn
       from ({lines(d)}) where t <> '' window w as (partition by t order by {domain_rank('lang')} desc, {KEY})) where rn > 1""",
     "dup_counts": lambda d: f"select source, count(*) - count(distinct t) as beyond_first, count(distinct t) as n_distinct from ({lines(d)}) group by source",
-    "question_totals": lambda d: f"select lang, count_if(length(q) - length(replace(q, '?', '')) = 1) as single, count_if(length(q) - length(replace(q, '?', '')) > 1) as multiple_question_marks, cast(sum(length(q) - length(replace(q, '?', ''))) as bigint) as marks from (select *, translate(t, ',', '?') as q from ({lines(d)})) where q like '%?%' group by lang",
+    "question_totals": lambda d: f"select lang, count(*) filter (where length(q) - length(replace(q, '?', '')) = 1) as single, count(*) filter (where length(q) - length(replace(q, '?', '')) > 1) as multiple_question_marks, cast(sum(length(q) - length(replace(q, '?', ''))) as bigint) as marks from (select *, translate(t, ',', '?') as q from ({lines(d)})) where q like '%?%' group by lang",
     "largest_remainder": lambda d: _seats(d),
     "stratified_sample": lambda d: f"""with s as ({_seats(d)}), r as (select line_id, split, source_id, row_number() over (partition by split, source_id order by md5(concat('42|', line_id)), line_id) as k from ({labels(d)}))
       select r.line_id, r.split, r.source_id from r join s on r.split = s.split and r.source_id = s.source_id where r.k <= s.seats""",
@@ -139,7 +155,8 @@ PLANS = {
     "priority_score": lambda d: f"select {KEY}, (case when length(t) <> length(translate(t, '0123456789', '')) then 10 else 0 end) + (case when t like '%$%' then 8 else 0 end) + (case when t like '%।%' then 4 else 0 end) as score from ({lines(d)})",
     "top_priority": lambda d: f"select line_id, line_length from ({labels(d)}) order by line_length desc, line_id limit 12",
     "qa_samples": lambda d: f"select line_id, split from (select *, row_number() over (partition by split order by {KEY}) as rn from ({labels(d)})) where rn <= 5",
-    "coverage_below": lambda d: f"with l as (select t from ({labels(d)})) " + " union all ".join(f"select '{m}' as target, count_if(t like '%{m}%') as n, count_if(t like '%{m}%') < 80 as below from l" for m in MATRAS),
+    "coverage_below": lambda d: d.rows(f"select {', '.join(f'count(*) filter (where t like {chr(39)}%{m}%{chr(39)}) as n{i}' for i, m in enumerate(MATRAS))} from ({labels(d)})",
+      "target, n, below", [(f"'{m}'", f"n{i}", f"n{i} < 80") for i, m in enumerate(MATRAS)]),
     "digit_ratio": lambda d: f"select source_id, round(avg(case when has_digit then 1.0e0 else 0.0e0 end), 6) as ratio from ({labels(d)}) group by source_id",
     "weighted_choice": lambda d: f"select line_id, case when u < 0.45 * 4294967296 then 'easy' when u < 0.85 * 4294967296 then 'medium' else 'hard' end as difficulty, v < 0.30 * 4294967296 as composed from (select line_id, {d.draw(chr(39) + 'difficulty' + chr(39), 'line_id')} as u, {d.draw(chr(39) + 'composed' + chr(39), 'line_id')} as v from ({labels(d)}))",
     "param_draws": lambda d: f"select line_id, 28 + {d.draw(chr(39) + 'font' + chr(39), 'line_id')} % 25 as font_size, 15 + {d.draw(chr(39) + 'pad' + chr(39), 'line_id')} % 21 as padding from ({labels(d)})",
@@ -151,7 +168,8 @@ PLANS = {
     "codepoint_hex": lambda d: f"select ch, {d.hexcode('ch')} as code from (select distinct ch from ({d.chars('(' + labels(d) + ')', 'line_id')}))",
     "charset_ids": lambda d: _charset(d),
     "charset_size": lambda d: f"select count(*) as num_characters, count(*) + 1 as num_classes from ({_charset(d)})",
-    "presence": lambda d: f"with v as ({_charset(d)}) " + " union all ".join(f"select '{c}' as ch, count_if(ch = '{c}') > 0 as present from v" for c in ["।", "॥", "्", *DIGITS]),
+    "presence": lambda d: d.rows(f"select {', '.join(f'count(*) filter (where ch = {chr(39)}{c}{chr(39)}) > 0 as p{i}' for i, c in enumerate(REQUIRED))} from ({_charset(d)})",
+      "ch, present", [(f"'{c}'", f"p{i}") for i, c in enumerate(REQUIRED)]),
     "encode_ids": lambda d: f"with v as ({_charset(d)}), c as ({d.chars('(' + labels(d) + ')', 'line_id')}) select c.line_id, {d.joined('cast(v.char_id as varchar(9))', 'c.pos')} as ids, count(*) as label_length from c join v on c.ch = v.ch group by c.line_id",
     "roundtrip": lambda d: f"with l as ({labels(d)}), v as ({_charset(d)}), c as ({d.chars('l', 'line_id')}), b as (select c.line_id, {d.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id) select l.line_id, l.t = b.back as same from l join b on l.line_id = b.line_id",
 }
