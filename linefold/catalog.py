@@ -11,6 +11,10 @@ from .functions.dialect import Duck, Spark
 from .plans import images, lines
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+#: A table below this many bytes may be one split that a single core would read; its
+#: rows are dealt to all cores before the line rules.  Larger scans are never shuffled.
+SPREAD_BYTES = 256 << 20
+
 PLANS = {**lines.PLANS, **images.PLANS}
 
 
@@ -19,6 +23,12 @@ def tables_of(sql: str) -> list[str]:
     return [t for t in TABLES if re.search(rf"\b(?:from|join) {t}\b", sql)]
 
 
+def spread(spark: SparkSession, path: str) -> str:
+    """The hint that deals a small table's rows to all cores, or none."""
+    size = spark.read.parquet(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return f"/*+ REPARTITION({spark.sparkContext.defaultParallelism}) */" if int(size.toString()) < SPREAD_BYTES else ""
+
+
 def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
     """A plan as a query over the Parquet tables of a folder.
 
@@ -28,6 +38,8 @@ def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql = plan(Spark)
+        if "/*spread*/" in sql:
+            sql = sql.replace("/*spread*/", spread(spark, f"{sf_dir.rstrip('/')}/documents.parquet"))
         for name in tables_of(sql):
             sql = re.sub(rf"\b(from|join) {name}\b", rf"\1 parquet.`{sf_dir.rstrip('/')}/{name}.parquet`", sql)
         return spark.sql(sql)

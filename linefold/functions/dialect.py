@@ -25,8 +25,8 @@ class Spark:
 
     @staticmethod
     def count_of(x: str, characters: str) -> str:
-        """How many characters of a text are among the given ones."""
-        return f"(length({x}) - length(translate({x}, r'{characters}', '')))"
+        """How many characters of a text are in the class; runs are removed whole."""
+        return f"(length({x}) - length(regexp_replace({x}, r'[{characters}]+', '')))"
 
     @staticmethod
     def once(source: str, **columns: str) -> str:
@@ -45,6 +45,14 @@ class Spark:
         kept = [c.strip() for c in f"{order}, {payload}".split(",") if c.strip()]
         return f"select {keys}, {', '.join(f'm.{c}' for c in kept)} from (select {keys}, min(struct({', '.join(kept)})) as m from ({source}) group by {keys})"
 
+    @staticmethod
+    def running(source: str, group: str, order: str) -> str:
+        """Adds ``k``, the row's number within its group, counted over blocks of
+        4,096 documents: a group of a third of all rows is not sorted in one task."""
+        block = f"with r as (select *, cast(doc_id div 4096 as bigint) as block from ({source})), c as (select {group} as grp, block as b, count(*) as m from r group by 1, 2)"
+        return f"""{block}, o as (select grp, b, sum(m) over (partition by grp order by b) - m as before from c)
+          select r.*, before + row_number() over (partition by {group}, block order by {order}) as k from r join o on r.{group} = o.grp and r.block = o.b"""
+
     @staticmethod
     def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
         """One row for each listed tuple of expressions over the source's row."""
@@ -82,14 +90,32 @@ class Spark:
     def joined(x: str, order: str, by: str = ",") -> str:
         return f"array_join(transform(array_sort(collect_list(struct({order}, {x} as x))), v -> v.x), '{by}')"
 
+    @staticmethod
+    def _alphabet(charset: str) -> str:
+        """The vocabulary as one string, so that a character's place is its id; it is
+        bounded by the code points there are, and read once as a scalar."""
+        return f"(select array_join(transform(array_sort(collect_list(struct(char_id, ch))), v -> v.ch), '') from ({charset}))"
+
+    @classmethod
+    def encoded(cls, lines: str, charset: str) -> str:
+        ids = "transform(filter(split(t, ''), c -> c <> ''), c -> instr(v, c))"
+        return f"select line_id, array_join(ids, ',') as ids, cast(size(ids) as bigint) as label_length from (select line_id, {ids} as ids from (select line_id, t, {cls._alphabet(charset)} as v from ({lines})))"
+
+    @classmethod
+    def decoded(cls, lines: str, charset: str) -> str:
+        """Whether the text comes back from its ids."""
+        ids = "transform(filter(split(t, ''), c -> c <> ''), c -> instr(v, c))"
+        return f"select line_id, t = array_join(transform({ids}, i -> substr(v, i, 1)), '') as same from (select line_id, t, {cls._alphabet(charset)} as v from ({lines}))"
+
     @staticmethod
     def pieces(src: str, dst: str, lower: bool) -> str:
-        fold = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if lower else "piece"
+        if lower:
+            src, dst = src[:26].upper() + src, dst[:26] + dst
         return rf"""select doc_id, source, lang, line_no, piece_no, t
-          from (select doc_id, source, lang, text from documents where text is not null)
+          from (select /*spread*/ doc_id, source, lang, text from documents where text is not null)
           lateral view posexplode(split(text, '\n')) as line_no, line
           lateral view posexplode(split(line, r'\. ')) as piece_no, piece
-          lateral view explode(array(trim(regexp_replace(translate({fold}, '{src}', '{dst}'), r'\s+', ' ')))) as t"""
+          lateral view explode(array(trim(regexp_replace(translate(piece, '{src}', '{dst}'), r'\s+', ' ')))) as t"""
 
 
 class Duck(Spark):
@@ -109,7 +135,7 @@ class Duck(Spark):
 
     @staticmethod
     def count_of(x: str, characters: str) -> str:
-        return f"(length({x}) - length(translate({x}, '{characters}', '')))"
+        return f"(length({x}) - length(regexp_replace({x}, '[{characters}]+', '', 'g')))"
 
     @staticmethod
     def once(source: str, **columns: str) -> str:
@@ -120,6 +146,10 @@ class Duck(Spark):
         kept = ", ".join(c for c in (keys, order, payload) if c)
         return f"select {kept} from (select *, row_number() over (partition by {keys} order by {order}) as rn from ({source})) where rn = 1"
 
+    @staticmethod
+    def running(source: str, group: str, order: str) -> str:
+        return f"select *, row_number() over (partition by {group} order by {order}) as k from ({source})"
+
     @staticmethod
     def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
         fields = [n.strip() for n in names.split(",")]
@@ -155,6 +185,14 @@ class Duck(Spark):
     def joined(x: str, order: str, by: str = ",") -> str:
         return f"string_agg({x}, '{by}' order by {order})"
 
+    @classmethod
+    def encoded(cls, lines: str, charset: str) -> str:
+        return f"with l as ({lines}), v as ({charset}), c as ({cls.chars('l', 'line_id')}) select c.line_id, {cls.joined('cast(v.char_id as varchar(9))', 'c.pos')} as ids, count(*) as label_length from c join v on c.ch = v.ch group by c.line_id"
+
+    @classmethod
+    def decoded(cls, lines: str, charset: str) -> str:
+        return f"with l as ({lines}), v as ({charset}), c as ({cls.chars('l', 'line_id')}), b as (select c.line_id, {cls.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id) select l.line_id, l.t = b.back as same from l join b on l.line_id = b.line_id"
+
     @staticmethod
     def pieces(src: str, dst: str, lower: bool) -> str:
         fold = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if lower else "piece"

@@ -16,22 +16,17 @@ def lines(d, lower: bool = True) -> str:
     return d.pieces(SRC, DST, lower)
 
 
-def span(*pairs: str) -> str:
-    """The characters of ranges such as ``az``, written out."""
-    return "".join(chr(c) for first, last in pairs for c in range(ord(first), ord(last) + 1))
-
-
 def counted(d, source: str) -> str:
     """Adds the character-class counts that the rules need, each taken once."""
     return d.once(
         source,
         n="length(t)",
-        n_dev=d.count_of("t", span("ऀॿ")),
-        n_letters=d.count_of("t", span("ऀॣ", "॰ॿ")),
-        n_latin=d.count_of("t", span("az", "AZ")),
-        n_digits=d.count_of("t", span("09")),
-        n_symbols=d.count_of("t", ":.-=_*#@%/|\\"),
-        n_label_symbols=d.count_of("t", ":.-=_*#@%/|\\()<>+`$;?,!^&~€£₹{}\"“”‘’[]"),
+        n_dev=d.count_of("t", "ऀ-ॿ"),
+        n_letters=d.count_of("t", "ऀ-ॣ॰-ॿ"),
+        n_latin=d.count_of("t", "a-zA-Z"),
+        n_digits=d.count_of("t", "0-9"),
+        n_symbols=d.count_of("t", r":.=_*#@%/|\\-"),
+        n_label_symbols=d.count_of("t", r':.=_*#@%/|\\()<>+`$;?,!^&~€£₹{}"“”‘’\[\]-'),
     )
 
 
@@ -51,7 +46,7 @@ def first_pass(d) -> str:
     return d.once(counted(d, lines(d, False)), reason=reason)
 
 
-def label_rules(d) -> str:
+def label_rules(d, source: str = "") -> str:
     """The second cascade, over lower-cased lines."""
     reference = " or ".join(
         [d.like("t", "अशुद्ध|शुद्ध अशुद्ध|बिषय-सूची|विषय-सूची|सूची-पत्र|सहायक ग्रन्थ"), d.like("t", "(ऐजन|एैजन|एजन)\\s*(पृ|पू)[.]"), d.like("t", "पृष्ठ\\s*[०-९0-9]+")]
@@ -62,7 +57,7 @@ def label_rules(d) -> str:
       when n_dev < 0.50 * n then 'low_devanagari_ratio' when n_latin > 0 then 'ocr_junk_latin'
       when {d.like('t', r'\S{40,}')} then 'ocr_junk_long_word' when n_label_symbols > 0.15 * n then 'symbol_heavy'
       when {reference} then 'reference_or_frontmatter_fragment' else 'keep' end"""
-    return d.once(counted(d, lines(d)), reason=reason)
+    return d.once(counted(d, source or lines(d)), reason=reason)
 
 
 def flags(t: str = "t") -> str:
@@ -75,8 +70,13 @@ def padded(n: str) -> str:
 
 
 def kept(d) -> str:
-    """Kept lines, the first of each text over all sources."""
-    return f"select {KEY}, source, lang, t from ({d.earliest(f'select * from ({label_rules(d)}) where reason = {chr(39)}keep{chr(39)}', 't', KEY, 'source, lang')})"
+    """Kept lines, the first of each text over all sources.
+
+    The rules see the text only, so copies are folded first: each distinct text is
+    judged once, after the shuffle and on all its partitions.
+    """
+    first = d.earliest(lines(d), "t", KEY, "source, lang")
+    return f"select {KEY}, source, lang, t from ({label_rules(d, first)}) where reason = 'keep'"
 
 
 def labels(d) -> str:
@@ -84,7 +84,7 @@ def labels(d) -> str:
     number = f"cast({d.first('source', '([0-9]+)$')} as int)"
     return f"""select concat(source, '_', {padded('k')}) as line_id, source as source_id, doc_id, line_no, piece_no, t, lang as domain,
       case when {number} % 10 <= 7 then 'train' when {number} % 10 = 8 then 'val' else 'test' end as split, {flags()}
-      from (select *, row_number() over (partition by source order by {KEY}) as k from ({kept(d)}))"""
+      from ({d.running(kept(d), 'source', KEY)})"""
 
 
 def domain_rank(x: str) -> str:
@@ -170,8 +170,8 @@ PLANS = {
     "charset_size": lambda d: f"select count(*) as num_characters, count(*) + 1 as num_classes from ({_charset(d)})",
     "presence": lambda d: d.rows(f"select {', '.join(f'count(*) filter (where ch = {chr(39)}{c}{chr(39)}) > 0 as p{i}' for i, c in enumerate(REQUIRED))} from ({_charset(d)})",
       "ch, present", [(f"'{c}'", f"p{i}") for i, c in enumerate(REQUIRED)]),
-    "encode_ids": lambda d: f"with v as ({_charset(d)}), c as ({d.chars('(' + labels(d) + ')', 'line_id')}) select c.line_id, {d.joined('cast(v.char_id as varchar(9))', 'c.pos')} as ids, count(*) as label_length from c join v on c.ch = v.ch group by c.line_id",
-    "roundtrip": lambda d: f"with l as ({labels(d)}), v as ({_charset(d)}), c as ({d.chars('l', 'line_id')}), b as (select c.line_id, {d.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id) select l.line_id, l.t = b.back as same from l join b on l.line_id = b.line_id",
+    "encode_ids": lambda d: d.encoded(labels(d), _charset(d)),
+    "roundtrip": lambda d: d.decoded(labels(d), _charset(d)),
 }
 
 
