@@ -8,14 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dialect import Duck, Spark
-from .plans import images, lines
+from .plans import images, lines, rules
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: A table below this many bytes may be one split that a single core would read; its
 #: rows are dealt to all cores before the line rules.  Larger scans are never shuffled.
 SPREAD_BYTES = 256 << 20
 
-PLANS = {**lines.PLANS, **images.PLANS}
+PLANS = {**lines.PLANS, **images.PLANS, **rules.PLANS}
 
 
 def tables_of(sql: str) -> list[str]:
@@ -26,7 +26,7 @@ def tables_of(sql: str) -> list[str]:
 def spread(spark: SparkSession, path: str) -> str:
     """The hint that deals a small table's rows to all cores, or none."""
     size = spark.read.parquet(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return f"/*+ REPARTITION({spark.sparkContext.defaultParallelism}) */" if int(size.toString()) < SPREAD_BYTES else ""
+    return f"/*+ REPARTITION({spark.sparkContext.defaultParallelism}) */" if int(str(size)) < SPREAD_BYTES else ""
 
 
 def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
