@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dialect import Duck, Spark
 from .plans import images, lines, rules
+from .sources import queries as through_files
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: A table below this many bytes may be one split that a single core would read; its
@@ -47,5 +48,6 @@ def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {name: query(plan) for name, plan in PLANS.items()}
-SQL = {name: plan(Duck) for name, plan in PLANS.items()}
+_FILE_QUERIES, _FILE_SQL = through_files.build(query)
+QUERIES = {**{name: query(plan) for name, plan in PLANS.items()}, **_FILE_QUERIES}
+SQL = {**{name: plan(Duck) for name, plan in PLANS.items()}, **_FILE_SQL}

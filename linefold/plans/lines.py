@@ -5,8 +5,12 @@ from __future__ import annotations
 # Transliteration of the fixture, digits, symbol and keyword lists.
 SRC = "abcdefghijklmnopqrstuvwxyz."
 DST = "ाबचदेफगहिजकलमनोपखरसतुव्षयं।"
+JUNK_WORDS = ["ककाामारााक", "उयिकजिम", "यिकडमिन", "सिनपितििक", "कछ ०", "०200", "2000 %", "कडककहकाट"]
+CITING = ["पृ", "संस्थान", "प्रकाश", "ऐजन"]
+DATES = ["वि. सं", "वि.सं.", "साल", "संवत्", "संबत्", "इसापूर्व", "शताब्दी"]
 DIGITS = "०१२३४५६७८९"
 MATRAS = ["ा", "ि", "ी", "ु", "ू", "ृ", "े", "ै", "ो", "ौ", "ं", "ँ"]
+PUNCTUATION = r"[?!,()\[\]{}\x22;:।॥-]"
 REQUIRED = ["।", "॥", "्", *DIGITS]
 DOMAINS = {"en": 3, "fr": 2, "de": 1, "es": 0}
 KEY = "doc_id, line_no, piece_no"
@@ -16,6 +20,10 @@ def lines(d, lower: bool = True) -> str:
     return d.pieces(SRC, DST, lower)
 
 
+def any_of(t: str, words: list[str]) -> str:
+    return " or ".join(f"contains({t}, '{w}')" for w in words)
+
+
 def counted(d, source: str) -> str:
     """Adds the character-class counts that the rules need, each taken once."""
     return d.once(
@@ -38,7 +46,7 @@ def first_pass(d) -> str:
             d.like("t", ":{3,}[0-9]+"), d.like("t", ":{2,}[0-9]+:{2,}"), "n_symbols > 0.20 * n", d.like("t", r"\S{40,}"),
         ]
     )
-    reason = f"""case when n < 5 then 'too_short' when n_dev = 0 then 'no_devanagari'
+    reason = f"""case when n = 0 then 'blank' when n < 5 then 'too_short' when n_dev = 0 then 'no_devanagari'
       when n_letters < 2 then 'insufficient_devanagari_letters' when n_latin > 0.15 * n then 'too_much_latin'
       when n_dev < 0.40 * n then 'insufficient_devanagari_ratio'
       when {d.like('t', r'[^a-zA-Z0-9ऀ-ॿ\s।॥]{3,}')} then 'consecutive_junk_symbols'
@@ -49,13 +57,15 @@ def first_pass(d) -> str:
 def label_rules(d, source: str = "") -> str:
     """The second cascade, over lower-cased lines."""
     reference = " or ".join(
-        [d.like("t", "अशुद्ध|शुद्ध अशुद्ध|बिषय-सूची|विषय-सूची|सूची-पत्र|सहायक ग्रन्थ"), d.like("t", "(ऐजन|एैजन|एजन)\\s*(पृ|पू)[.]"), d.like("t", "पृष्ठ\\s*[०-९0-9]+")]
+        [d.like("t", "अशुद्ध|शुद्ध अशुद्ध|बिषय-सूची|विषय-सूची|सूची-पत्र|सहायक ग्रन्थ"), d.like("t", "(ऐजन|एैजन|एजन)\\s*(पृ|पू)[.]"), d.like("t", "पृष्ठ\\s*[०-९0-9]+"),
+         f"({d.like('t', r'^\s*[०-९0-9]+\s*[.]\s*[a-zA-Zऀ-ॿ]')} and ({any_of('t', CITING)}))"]
     )
+    junk = " ".join(f"when contains(t, '{w}') then 'ocr_junk_pattern_{w}'" for w in JUNK_WORDS)
     reason = f"""case when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'contains_ascii_digit'
       when {d.like('t', '[_|&%€$£₹]')} then 'bad_ocr_symbols' when {d.like('t', '[«»\\[\\]]')} then 'brackets_or_guillemets'
-      when n_letters < 4 then 'fragment_like_too_few_letters' when n < 12 and n - n_letters > 0.60 * n then 'fragment_like_mostly_non_letters'
-      when n_dev < 0.50 * n then 'low_devanagari_ratio' when n_latin > 0 then 'ocr_junk_latin'
-      when {d.like('t', r'\S{40,}')} then 'ocr_junk_long_word' when n_label_symbols > 0.15 * n then 'symbol_heavy'
+      when contains(t, 'भाषाबंशावती') then 'noisy_header' when n_letters < 4 then 'fragment_like_too_few_letters' when n < 12 and n - n_letters > 0.60 * n then 'fragment_like_mostly_non_letters'
+      when n_dev < 0.50 * n then 'low_devanagari_ratio' {junk} when contains(t, '००००') then 'ocr_junk_repeating_digits'
+      when n_latin > 0 then 'ocr_junk_latin_characters' when {d.like('t', r'\S{40,}')} then 'ocr_junk_long_word_garbage' when n_label_symbols > 0.15 * n then 'symbol_heavy'
       when {reference} then 'reference_or_frontmatter_fragment' else 'keep' end"""
     return d.once(counted(d, source or lines(d)), reason=reason)
 
@@ -152,7 +162,7 @@ PLANS = {
     "left_join_helper": lambda d: f"select l.line_id, h.quality, h.toxic, coalesce(h.quality, -1) as quality_or_default from ({labels(d)}) l left join (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id) h on l.doc_id = h.doc_id",
     "union_parts": lambda d: "select doc_id, text, 'core' as part, 1 as variant from documents where lang = 'en' union all select doc_id, text, 'extra' as part, 2 as variant from documents where lang <> 'en'",
     "infer_domain": lambda d: "select doc_id, case when source like '%1%' then 'first' when source like '%2%' then 'second' else 'other' end as domain from documents",
-    "priority_score": lambda d: f"select {KEY}, (case when length(t) <> length(translate(t, '0123456789', '')) then 10 else 0 end) + (case when t like '%$%' then 8 else 0 end) + (case when t like '%।%' then 4 else 0 end) as score from ({lines(d)})",
+    "priority_score": lambda d: f"select {KEY}, (case when {d.like('t', '[०-९]')} then 10 else 0 end) + (case when {any_of('t', ['रू.', 'रु.'])} then 8 else 0 end) + (case when {any_of('t', DATES)} then 8 else 0 end) + (case when {d.like('t', PUNCTUATION)} then 4 else 0 end) as score from ({lines(d)})",
     "top_priority": lambda d: f"select line_id, line_length from ({labels(d)}) order by line_length desc, line_id limit 12",
     "qa_samples": lambda d: f"select line_id, split from (select *, row_number() over (partition by split order by {KEY}) as rn from ({labels(d)})) where rn <= 5",
     "coverage_below": lambda d: d.rows(f"select {', '.join(f'count(*) filter (where t like {chr(39)}%{m}%{chr(39)}) as n{i}' for i, m in enumerate(MATRAS))} from ({labels(d)})",
