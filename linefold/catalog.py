@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dialect import Duck, Spark
+from .operators import queries as pixels
 from .plans import images, lines, rules
 from .sources import queries as through_files
 
@@ -49,5 +50,5 @@ def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 _FILE_QUERIES, _FILE_SQL = through_files.build(query)
-QUERIES = {**{name: query(plan) for name, plan in PLANS.items()}, **_FILE_QUERIES}
+QUERIES = {**{name: query(plan) for name, plan in PLANS.items()}, **_FILE_QUERIES, **pixels.QUERIES}
 SQL = {**{name: plan(Duck) for name, plan in PLANS.items()}, **_FILE_SQL}
