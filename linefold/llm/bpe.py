@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ from .common import table
 
 #: Distinct pre-tokens that a worker remembers; beyond, it begins anew.
 REMEMBER = 1 << 18
-#: Texts are encoded in runs of about so many characters, to bound memory.
-RUN_CHARS = 1 << 20
+#: Texts are encoded in runs of about so many bytes, to bound memory.
+RUN_CHARS = 1 << 18
 
 
 class PerfectHash:
@@ -261,16 +262,15 @@ def codec(data: bytes, pattern: str, table: PerfectHash | None = None, splitter:
     return _CODECS[key]
 
 
-def _runs(texts: list[str]) -> Iterator[list[str]]:
-    run, chars = [], 0
-    for t in texts:
-        run.append(t)
-        chars += len(t)
-        if chars >= RUN_CHARS:
-            yield run
-            run, chars = [], 0
-    if run:
-        yield run
+def _runs(column: pa.Array) -> Iterator[list[str]]:
+    """The column's texts (null: empty) in runs of at least RUN_CHARS bytes, the last
+    excepted; only one run's texts are held at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = before = 0
+    while at < len(column):
+        to = min(len(column), int(np.searchsorted(ends, before + RUN_CHARS)) + 1)
+        yield [t or "" for t in column.slice(at, to - at).to_pylist()]
+        at, before = to, int(ends[to - 1])
 
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
@@ -293,7 +293,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
             at = 0
-            for texts in _runs([t or "" for t in batch.column(1).to_pylist()]):
+            for texts in _runs(batch.column(1)):
                 ids, back = zip(*coder.encode(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
