@@ -60,6 +60,37 @@ class Spark:
         tuples = ", ".join(f"struct({', '.join(f'{v} as {f}' for v, f in zip(t, fields))})" for t in values)
         return f"select {keep + ', ' if keep else ''}{names} from ({source}) lateral view inline(array({tuples})) as {names}"
 
+    @staticmethod
+    def each(source: str, name: str, values: list[str]) -> str:
+        """Every row once for each of the listed expressions."""
+        return f"select *, explode(array({', '.join(values)})) as {name} from ({source})"
+
+    @staticmethod
+    def hash_rank(source: str, group: str, seed: str, key: str = "line_id") -> str:
+        """Adds ``k``, the row's place by a digest of its key within its group, and the
+        group's size ``n``.  Ranks are counted over 4,096 ranges of the digest, so a
+        group of any size is sorted in as many tasks."""
+        r = f"with r as (select *, md5(concat('{seed}|', {key})) as hash, substr(md5(concat('{seed}|', {key})), 1, 3) as block from ({source}))"
+        return f"""{r}, c as (select {group} as grp, block as b, count(*) as m from r group by 1, 2),
+          o as (select grp, b, sum(m) over (partition by grp order by b) - m as before, sum(m) over (partition by grp) as n from c)
+          select r.*, n, before + row_number() over (partition by {group}, block order by hash, {key}) as k from r join o on r.{group} <=> o.grp and r.block = o.b"""
+
+    @staticmethod
+    def hex_part(x: str, at: int) -> str:
+        """Six hexadecimal digits of a text as a number."""
+        return f"cast(conv(substr({x}, {at}, 6), 16, 10) as bigint)"
+
+    @staticmethod
+    def first_try(key: str, tries: int, holds) -> str:
+        """The first number below ``tries`` whose digest with the key fits, or null."""
+        digests = f"transform(sequence(0, {tries - 1}), a -> struct(a, md5(concat({key}, '|', cast(a as string))) as h))"
+        return f"cast(get(filter({digests}, s -> {holds('s.h')}), 0).a as bigint)"
+
+    @staticmethod
+    def cells(table: str, key: str, column: str) -> str:
+        """Rows (key, pos from 0, x) of an array column."""
+        return f"select {key}, pos, x from {table} lateral view posexplode({column}) as pos, x"
+
     @staticmethod
     def draw(*parts: str) -> str:
         """A number in [0, 2**32) from a digest of the parts."""
@@ -107,6 +138,13 @@ class Spark:
         ids = "transform(filter(split(t, ''), c -> c <> ''), c -> instr(v, c))"
         return f"select line_id, t = array_join(transform({ids}, i -> substr(v, i, 1)), '') as same from (select line_id, t, {cls._alphabet(charset)} as v from ({lines}))"
 
+    @classmethod
+    def from_ids(cls, lines: str, charset: str) -> str:
+        """Texts decoded from ids between blanks (0), which decoding drops."""
+        ids = "flatten(transform(filter(split(t, ''), c -> c <> ''), c -> array(instr(v, c), 0)))"
+        back = "array_join(transform(filter(ids, i -> i <> 0), i -> substr(v, i, 1)), '')"
+        return f"select line_id, {back} as back from (select line_id, v, {ids} as ids from (select line_id, t, {cls._alphabet(charset)} as v from ({lines})))"
+
     @staticmethod
     def pieces(src: str, dst: str, lower: bool) -> str:
         if lower:
@@ -157,6 +195,26 @@ class Duck(Spark):
         picked = ", ".join(f"r[{i}] as {f}" for i, f in enumerate(fields, 1))
         return f"select {keep + ', ' if keep else ''}{picked} from (select *, unnest([{tuples}]) as r from ({source}))"
 
+    @staticmethod
+    def each(source: str, name: str, values: list[str]) -> str:
+        return f"select *, unnest([{', '.join(values)}]) as {name} from ({source})"
+
+    @staticmethod
+    def hash_rank(source: str, group: str, seed: str, key: str = "line_id") -> str:
+        return f"select *, row_number() over (partition by {group} order by md5(concat('{seed}|', {key})), {key}) as k, count(*) over (partition by {group}) as n from ({source})"
+
+    @staticmethod
+    def hex_part(x: str, at: int) -> str:
+        return f"cast('0x' || substr({x}, {at}, 6) as bigint)"
+
+    @staticmethod
+    def first_try(key: str, tries: int, holds) -> str:
+        return f"list_filter(range(0, {tries}), lambda a: {holds(f'md5(concat({key}, {chr(39)}|{chr(39)}, cast(a as varchar)))')})[1]"
+
+    @staticmethod
+    def cells(table: str, key: str, column: str) -> str:
+        return f"select {key}, unnest(range(0, len({column}))) as pos, unnest({column}) as x from {table}"
+
     @staticmethod
     def draw(*parts: str) -> str:
         return f"cast('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) as bigint)"
@@ -193,6 +251,10 @@ class Duck(Spark):
     def decoded(cls, lines: str, charset: str) -> str:
         return f"with l as ({lines}), v as ({charset}), c as ({cls.chars('l', 'line_id')}), b as (select c.line_id, {cls.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id) select l.line_id, l.t = b.back as same from l join b on l.line_id = b.line_id"
 
+    @classmethod
+    def from_ids(cls, lines: str, charset: str) -> str:
+        return f"with l as ({lines}), v as ({charset}), c as ({cls.chars('l', 'line_id')}) select c.line_id, {cls.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id"
+
     @staticmethod
     def pieces(src: str, dst: str, lower: bool) -> str:
         fold = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if lower else "piece"

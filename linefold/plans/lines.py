@@ -152,10 +152,9 @@ PLANS = {
     "question_totals": lambda d: f"select lang, count(*) filter (where length(q) - length(replace(q, '?', '')) = 1) as single, count(*) filter (where length(q) - length(replace(q, '?', '')) > 1) as multiple_question_marks, cast(sum(length(q) - length(replace(q, '?', ''))) as bigint) as marks from (select *, translate(t, ',', '?') as q from ({lines(d)})) where q like '%?%' group by lang",
     "largest_remainder": lambda d: _seats(d),
     "stratified_sample": lambda d: f"""with s as ({_seats(d)}), r as (select line_id, split, source_id, row_number() over (partition by split, source_id order by md5(concat('42|', line_id)), line_id) as k from ({labels(d)}))
-      select r.line_id, r.split, r.source_id from r join s on r.split = s.split and r.source_id = s.source_id where r.k <= s.seats""",
+      select r.line_id, r.split, r.source_id from r join s on r.split = s.split and r.source_id = s.source_id where r.k <= 120 and r.k <= s.seats""",
     "seeded_sample": lambda d: f"select line_id, t from ({labels(d)}) order by md5(concat('42|', line_id)), line_id limit 200",
-    "assign_split": lambda d: f"""select line_id, case when k <= 0.8 * n then 'train' when k <= 0.9 * n then 'val' else 'test' end as split
-      from (select line_id, ntile_of as k, n from (select line_id, row_number() over (partition by source_id order by md5(concat('7|', line_id)), line_id) as ntile_of, count(*) over (partition by source_id) as n from ({labels(d)})))""",
+    "assign_split": lambda d: f"select line_id, case when k <= 0.8 * n then 'train' when k <= 0.9 * n then 'val' else 'test' end as split from ({d.hash_rank(f'select line_id, source_id from ({labels(d)})', 'source_id', '7')})",
     "cross_dups": lambda d: f"select count(*) as n from (select distinct t from ({lines(d)}) where lang = 'en' intersect select distinct t from ({lines(d)}) where lang <> 'en')",
     "text_union": lambda d: f"select t from ({lines(d)}) where lang = 'fr' union select t from ({lines(d)}) where lang = 'es'",
     "anti_missing": lambda d: f"select l.line_id from ({labels(d)}) l left join labels h on l.doc_id = h.doc_id where h.doc_id is null",

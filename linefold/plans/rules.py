@@ -101,7 +101,7 @@ def top_up(d, pool: str, target: str, order: str = "42") -> str:
 
     Row k of n is taken once for each round r with k + r * n <= target.
     """
-    ranked = f"select line_id, domain, row_number() over (partition by domain order by md5(concat('{order}|', line_id)), line_id) as k, count(*) over (partition by domain) as n from ({pool})"
+    ranked = d.hash_rank(f"select line_id, domain from ({pool})", "domain", order)
     return f"select line_id, domain, cast(({target} - k - ({target} - k) % n) / n as bigint) + 1 as times from ({ranked}) where k <= {target}"
 
 
@@ -132,7 +132,7 @@ PLANS = {
     "topup_sample": lambda d: top_up(d, ln.labels(d), "5000"),
     "quota_mix": lambda d: top_up(d, ln.labels(d), QUOTA, "9999"),
     "gap_fill": lambda d: f"select line_id, times from ({top_up(d, f'select line_id, {chr(39)}all{chr(39)} as domain from ({ln.labels(d)})', '100000', '8888')}) where times > 1",
-    "smoke_sample": lambda d: f"select line_id, split, cast((k - 1 - (k - 1) % 5) / 5 as bigint) as forced from (select line_id, split, row_number() over (partition by split order by md5(concat('42|', line_id)), line_id) as k from ({ln.labels(d)})) where k <= case split when 'train' then 200 else 50 end",
+    "smoke_sample": lambda d: f"select line_id, split, cast((k - 1 - (k - 1) % 5) / 5 as bigint) as forced from (select line_id, split, row_number() over (partition by split order by md5(concat('42|', line_id)), line_id) as k from ({ln.labels(d)})) where k <= 200 and k <= case split when 'train' then 200 else 50 end",
     "per_profile_rep": lambda d: f"select profile, line_id, variant_index from ({d.earliest(named(d), 'profile', 'line_id, variant_index')})",
     "chunking": lambda d: f"select chunk, min(k) as first_row, count(*) as n from (select k, cast((k - 1 - (k - 1) % 512) / 512 as bigint) as chunk from ({d.running('select * from documents', 'source', 'doc_id')})) group by chunk",
     "skip_examples": lambda d: f"select reason, t from (select reason, t, row_number() over (partition by reason order by {ln.KEY}) as k from ({d.earliest(f'select * from ({ln.first_pass(d)}) where reason <> {chr(39)}keep{chr(39)}', 'reason, t', ln.KEY)})) where k <= 20",

@@ -72,6 +72,39 @@ def json_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, multiLine=True)
 
 
+def split_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """Source and split of a corpus manifest; spaces around a split are dropped."""
+    return csv_rows(spark, path, "source_id string, split_group string").select("source_id", F.trim("split_group").alias("split"))
+
+
+def write_charset(chars: DataFrame, path: str, blank: str = "<BLANK>") -> None:
+    """A vocabulary (char_id, ch) as one JSON object: blank, characters, both maps and
+    the counts.  It is bounded by the code points there are."""
+    pairs = F.array_sort(F.collect_list(F.struct("char_id", "ch")))
+    one = chars.agg(pairs.alias("p")).select(
+        F.lit(blank).alias("blank_token"), F.lit(0).alias("blank_id"), F.transform("p", lambda x: x.ch).alias("characters"),
+        F.map_from_entries(F.transform("p", lambda x: F.struct(x.ch, x.char_id))).alias("char_to_id"),
+        F.map_from_entries(F.transform("p", lambda x: F.struct(x.char_id.cast("string"), x.ch))).alias("id_to_char"),
+        F.size("p").alias("num_characters"), (F.size("p") + 1).alias("num_classes"),
+    )
+    one.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+
+
+def charset_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (char_id, ch) of a vocabulary's JSON, whose keys are text, without blank."""
+    held = spark.read.text(path, wholetext=True).select(F.from_json("value", "id_to_char map<string, string>").alias("v"))
+    return held.select(F.explode("v.id_to_char").alias("k", "ch")).select(F.col("k").cast("int").alias("char_id"), "ch").where("char_id <> 0")
+
+
+def append_csv(df: DataFrame, path: str) -> None:
+    """Adds files to a CSV folder, columns in the order of what is there.
+
+    The header of one existing file gives the order; a column missing here raises.
+    """
+    there = df.sparkSession.read.csv(path, header=True).columns
+    df.select(*there).write.mode("append").csv(path, header=True, quote='"', escape='"')
+
+
 def image_headers(spark: SparkSession, path: str) -> DataFrame:
     """Rows (path, length, sha256, width, height) of PNG files, the sizes from the
     header's bytes (null for other files)."""

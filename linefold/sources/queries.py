@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck
-from ..plans import lines
+from ..plans import lines, rules
 from ..streaming import dedup
 from . import files
 
@@ -42,13 +42,43 @@ def build(run) -> tuple[dict, dict]:
         dedup.drain(dedup.first_texts(spark, f"{at}/in", "t string"), f"{at}/out", f"{at}/state")
         return spark.read.parquet(f"{at}/out")
 
+    def ingest_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Two parts of which the second is missing, as one table."""
+        at, schema = files.work_folder(spark), "line_id string, t string"
+        labels(spark, sf_dir).where("split = 'val'").select("line_id", "t").write.csv(f"{at}/first", header=True, escape='"')
+        found = [files.optional_part(spark, f"{at}/{name}", schema, i, f"round_{i}") for i, name in enumerate(("first", "second"), 1)]
+        return found[0].unionByName(found[1])
+
+    def split_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+        at = files.work_folder(spark)
+        number = F.regexp_extract("source", "([0-9]+)$", 1).cast("int") % 10
+        split = F.when(number <= 7, " train").when(number == 8, "val ").otherwise("test")
+        sources = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select("source").distinct()
+        sources.select(F.col("source").alias("source_id"), split.alias("split_group")).write.csv(at, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        return files.split_mapping(spark, at)
+
+    def charset_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+        at = files.work_folder(spark)
+        files.write_charset(run(lines.PLANS["charset_ids"])(spark, sf_dir), at)
+        return files.charset_rows(spark, at)
+
+    def missing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Manifest images of which only the first variant is on the list of files."""
+        rows = run(rules.PLANS["image_names"])(spark, sf_dir)
+        listed = rows.where("variant_index = 1").select(F.concat(F.lit("/images/"), "image_path").alias("path"))
+        return files.missing_paths(rows, listed).select("line_id", "variant_index")
+
     own = lines.PLANS["label_rows"](Duck)
     sql = {
         "scan_labels": own,
         "ingest_tagged": f"select line_id, t, domain from ({own}) where domain in ('en', 'fr')",
         "split_manifest": f"select line_id, split as split_name from ({own})",
         "nfc_text": "select doc_id, nfc_normalize(text) as text from documents",
+        "ingest_part": f"select line_id, t, 1 as variant_index, 'round_1' as generation_round from ({own}) where split = 'val'",
+        "split_mapping": "select distinct source as source_id, case when cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 10 <= 7 then 'train' when cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 10 = 8 then 'val' else 'test' end as split from documents",
+        "charset_load": f"select char_id, ch from ({lines.PLANS['charset_ids'](Duck)})",
+        "missing_paths": f"select line_id, variant_index from ({rules.PLANS['image_names'](Duck)}) where variant_index <> 1",
         "stream_dedup": f"select distinct t from ({lines.lines(Duck)})",
     }
-    found = {f.__name__: f for f in (scan_labels, ingest_tagged, split_manifest, nfc_text, stream_dedup)}
+    found = {f.__name__: f for f in (scan_labels, ingest_tagged, ingest_part, split_manifest, split_mapping, charset_load, missing_paths, nfc_text, stream_dedup)}
     return found, sql
