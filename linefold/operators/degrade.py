@@ -158,6 +158,49 @@ PROFILES: dict[str, list[tuple[Kernel, float]]] = {
 }
 
 
+#: Stages of a composed degradation; None leaves the image as it is.
+COMPOSED: dict[str, dict[str, tuple[Kernel, float] | None]] = {
+    "substrate": {"illumination": (illumination, 0.8), "texture": (texture, 0.6), "stains": (stain, 0.5), "bleedthrough": (show_through, 0.5), "showthrough": (show_through, 0.3), "none": None},
+    "ink": {"fade": (fade, 1.0), "thin": (thin, 0.4), "thick": (thicken, 0.5), "broken": (broken, 1.0), "shirorekha": (headline_gaps, 0.5), "bleed": (thicken, 0.3), "none": None},
+    "scan": {"downsample": (low_resolution, 1.0), "blur": (blur, 0.5), "streaks": (streaks, 0.4), "none": None},
+    "damage": {"pepper": (specks, 0.2), "wormholes": (wormholes, 0.3), "crease": (crease, 0.4), "none": None},
+    "geometry": {"affine": (skew, 0.8), "warp": (warp, 0.5), "none": None},
+}
+#: Stages that are skipped half of the time, and effects that make an image hard.
+OPTIONAL = ("damage", "geometry")
+HARD = {"bleedthrough", "showthrough", "shirorekha", "broken", "wormholes", "crease", "warp"}
+COMPOSED_TRIES = 50
+
+
+def difficulty(picks: dict[str, str]) -> str:
+    active = [p for p in picks.values() if p != "none"]
+    return "hard" if len(active) >= 3 and HARD & set(active) else "medium" if len(active) >= 2 else "easy"
+
+
+def compose(seed: int, row_id: int, target: str | None = None) -> tuple[dict[str, str], int]:
+    """One effect for each stage and the draw's number: the first draw of the target's
+    difficulty, else the last of ``COMPOSED_TRIES``.  No pixel is touched to find it."""
+    picks: dict[str, str] = {}
+    for attempt in range(COMPOSED_TRIES):
+        rng = np.random.default_rng([seed, row_id & 0xFFFFFFFFFFFFFFFF, attempt, 1])
+        for stage, effects in COMPOSED.items():
+            names = [n for n in effects if stage not in OPTIONAL or n != "none"]
+            picks[stage] = "none" if stage in OPTIONAL and rng.random() < 0.5 else str(rng.choice(names))
+        if target is None or difficulty(picks) == target:
+            break
+    return picks, attempt
+
+
+def degrade_composed(x: Image, seed: int, row_id: int, target: str | None = None) -> tuple[Image, dict[str, str]]:
+    """The image after its drawn effects, and their names with the difficulty."""
+    picks, attempt = compose(seed, row_id, target)
+    rng = np.random.default_rng([seed, row_id & 0xFFFFFFFFFFFFFFFF, attempt, 2])
+    for stage, name in picks.items():
+        step = COMPOSED[stage][name]
+        x = step[0](x, rng, step[1]) if step and x.size else x
+    return x, {**picks, "difficulty": difficulty(picks)}
+
+
 def quality(x: Image) -> tuple[float, float, bool]:
     """Contrast, readability score and risk of an image (no ink counts as mean 0, no
     background as 255; an image without pixels is a risk)."""
