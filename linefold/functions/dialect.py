@@ -48,10 +48,13 @@ class Spark:
     @staticmethod
     def running(source: str, group: str, order: str) -> str:
         """Adds ``k``, the row's number within its group, counted over blocks of
-        4,096 documents: a group of a third of all rows is not sorted in one task."""
-        block = f"with r as (select *, cast(doc_id div 4096 as bigint) as block from ({source})), c as (select {group} as grp, block as b, count(*) as m from r group by 1, 2)"
-        return f"""{block}, o as (select grp, b, sum(m) over (partition by grp order by b) - m as before from c)
-          select r.*, before + row_number() over (partition by {group}, block order by {order}) as k from r join o on r.{group} = o.grp and r.block = o.b"""
+        4,096 documents: a group of a third of all rows is not sorted in one task.
+        Both sides read whole rows (``mark``), so that they share one shuffle and the
+        source is evaluated once."""
+        r = f"with r as (select *, row_number() over (partition by {group}, block order by {order}) as rn from (select *, cast(doc_id div 4096 as bigint) as block from ({source})))"
+        return f"""{r}, c as (select {group} as grp, block as b, max(rn) as m, max(mark) as seen from (select *, hash(*) as mark from r) group by 1, 2),
+          o as (select grp, b, sum(m) over (partition by grp order by b) - m as before from c where seen is not null)
+          select r.*, before + rn as k from r join o on r.{group} <=> o.grp and r.block <=> o.b"""
 
     @staticmethod
     def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
