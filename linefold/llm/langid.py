@@ -2,8 +2,9 @@
 
 A text is the L2-normalised TF-IDF vector of its letter 1- to 3-grams, hashed to
 ``DIM`` cells.  Each language has several centroids from spherical k-means; the most
-cosine-similar centroid names the language, and a text farther from it than
-``REJECT`` times the learned reach of that centroid is rejected.
+cosine-similar centroid names the language.  A text is rejected below the ``REJECT``
+quantile of the cosines that texts of the language had to centroids fitted without
+them; short texts, whose cosines are lower, have bounds of their own.
 """
 
 from __future__ import annotations
@@ -17,15 +18,26 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, table
+from .common import crc_fold, measured, stable, table
 
 DIM, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Training texts of each language, on average: the model is fitted on a hash sample.
 PER_LANGUAGE = 500
 #: Languages with the most labelled texts that the model keeps at most.
 LANGUAGES = 256
-#: A text is rejected below this share of the least cosine seen in training.
-REJECT = 0.25
+#: The quantile of the cosines of left-out texts below which a text is rejected.
+REJECT = 0.005
+#: Texts that lie close together reach this many times as far below their median as
+#: their lowest twentieth does (3.5 standard deviations of a normal law).
+FENCE = 2.1
+#: A centroid stands for at least this share of its language's texts.
+SUPPORT = 0.02
+#: Each text is left out of one fit of so many.
+FOLDS = 5
+#: Texts of fewer grams than the last are short; the steps divide them by length.
+SHORT = np.array([64, 256])
+#: Left-out texts that a centroid, or a length of a language, needs for its own bound.
+ENOUGH = 20
 CHUNK = 256
 _KINDS: list[np.ndarray] = []
 
@@ -69,7 +81,7 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    reach: np.ndarray  # the least cosine of its training texts, for each centroid
+    reach: np.ndarray  # the least cosine that is not rejected, for each centroid and length
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, cosine, rejected) of each text; ("und", 0.0, True) for null
@@ -80,14 +92,22 @@ class Model:
             some = [i for i, x in enumerate(counts) if x is not None]
             part = [("und", 0.0, True)] * len(counts)
             if some and self.languages:
-                likeness = weigh(np.stack([counts[i] for i in some]), self.idf) @ self.centroids.T
+                own = np.stack([counts[i] for i in some])
+                likeness = weigh(own, self.idf) @ self.centroids.T
+                least = self.least(own.sum(1))
                 best = likeness.argmax(axis=1)
                 score = np.clip(likeness[np.arange(len(some)), best], 0, 1)
-                for i, b, s in zip(some, best.tolist(), score.tolist()):
-                    part[i] = (self.languages[b], float(s), bool(s < REJECT * self.reach[b]))
+                for k, (i, b, s) in enumerate(zip(some, best.tolist(), score.tolist())):
+                    part[i] = (self.languages[b], float(s), bool(s < least[k, b]))
             out += part
         return out
 
+    def least(self, size: np.ndarray) -> np.ndarray:
+        """The bound of every centroid for texts of these numbers of grams.  Where too few
+        short texts were left out (NaN), the bound of long texts falls with the length."""
+        bound = self.reach[:, np.searchsorted(SHORT, size, "right")].T
+        return np.where(np.isnan(bound), self.reach[:, -1] * np.minimum(1, size / SHORT[-1])[:, None], bound)
+
 
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(counts) * idf
@@ -107,41 +127,104 @@ def cluster(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def centroids(x: np.ndarray) -> np.ndarray:
+    """Those that do not rest on a few odd texts."""
+    c = cluster(x, CENTROIDS).astype(np.float32)
+    held = np.bincount((x @ c.T).argmax(axis=1), minlength=len(c))
+    return c[held >= min(SUPPORT * len(x), held.max())]
+
+
+def left_out(x: np.ndarray) -> np.ndarray:
+    """The cosine of each text to the nearest centroid fitted without it; NaN for a lone text."""
+    got, fold = np.full(len(x), np.nan, np.float32), np.arange(len(x)) % FOLDS
+    for f in range(min(FOLDS, len(x)) if len(x) > 1 else 0):
+        got[fold == f] = (x[fold == f] @ centroids(x[fold != f]).T).max(axis=1)
+    return got
+
+
+def low(cosine: np.ndarray) -> float:
+    """The bound from left-out cosines; one odd text alone does not set it."""
+    middle, tail = np.quantile(cosine, [0.5, 0.05])
+    return float(min(np.quantile(cosine, REJECT, method="higher"), middle - FENCE * (middle - tail)))
+
+
+def bounds(names: np.ndarray, near: np.ndarray, langs: np.ndarray, size: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """A row per centroid, a column per length, the last for long texts.
+
+    ``names`` has the language of each centroid; ``near`` the nearest centroid,
+    ``langs`` the language, ``size`` the grams and ``cosine`` the left-out cosine of
+    each training text.  Long texts have a bound per centroid, short ones per
+    language; with fewer than ``ENOUGH`` texts it is that of the language, then of all.
+    """
+    step = np.searchsorted(SHORT, size, "right")
+    some = ~np.isnan(cosine)
+    out = np.full((len(names), len(SHORT) + 1), np.nan)
+    for j in range(len(SHORT) + 1):
+        whole = cosine[some & (step == j)]
+        if len(whole) >= ENOUGH:
+            out[:, j] = low(whole)
+        for lang in set(names):
+            mine = some & (step == j) & (langs == lang)
+            if mine.sum() >= ENOUGH:
+                out[names == lang, j] = low(cosine[mine])
+    for i in range(len(names)):
+        mine = some & (step == len(SHORT)) & (near == i)
+        if mine.sum() >= ENOUGH:
+            out[i, -1] = low(cosine[mine])
+    if some.any():
+        # no long texts to learn from: the bound of all texts
+        out[np.isnan(out[:, -1]), -1] = low(cosine[some])
+    else:
+        out[:, -1] = 0.0
+    return out
+
+
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """From ``labelled(key, text, lang)``; rows with a null text, null lang or no
     letter teach nothing.  Each language gives about ``per_language`` texts, picked by
-    a hash of ``key``, of which the driver gets the counts (16 kB each)."""
+    a hash of ``key``.  Each language is fitted in a task of its own, which gets the
+    counts of its texts (16 kB each); the driver gets the centroids."""
     rows = labelled.where("lang is not null and text is not null")
-    per = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not per:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(DIM, np.float32), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], min(1.0, per_language / r["count"]))])
-    picked = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
+    per = measured(stable(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)), 96)
+    picked = rows.join(per, "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")) * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(l, x.tobytes()) for l, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (x := grams(t)) is not None]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.binary())], ["lang", "grams"])
 
-    sample = picked.select("lang", "text").mapInArrow(run, "lang string, grams binary").toPandas()
-    if not len(sample):
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(DIM, np.float32), np.zeros(0))
-    counts = np.stack([np.frombuffer(g, np.float32) for g in sample["grams"]])
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    x = weigh(counts, idf).astype(np.float32)
-    order = np.lexsort((x @ np.random.default_rng(0).normal(size=DIM), sample["lang"]))  # whatever order the rows came in
-    x, langs = x[order], sample["lang"].to_numpy()[order]
-    names, cents, reach = [], [], []
-    for lang in sorted(set(langs)):
-        own = x[langs == lang]
-        c = cluster(own, CENTROIDS)
-        near = own @ c.T
-        for i in range(len(c)):
-            mine = near[near.argmax(axis=1) == i, i]
-            names.append(lang)
-            reach.append(float(mine.min()) if len(mine) else 0.0)
-        cents.append(c)
-    return Model(names, np.concatenate(cents).astype(np.float32), idf, np.array(reach))
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, found = 0, np.zeros(DIM, np.int64)
+        for batch in batches:
+            for g in batch.column(0):
+                texts, found = texts + 1, found + (np.frombuffer(g.as_buffer(), np.float32) > 0)
+        yield pa.RecordBatch.from_arrays([pa.array([texts], pa.int64()), pa.array([found.tobytes()], pa.binary())], ["n", "found"])
+
+    sample = stable(picked.select("lang", "text").mapInArrow(run, "lang string, grams binary"))
+    parts = sample.select("grams").mapInArrow(seen, "n long, found binary").collect()
+    texts = sum(r["n"] for r in parts)
+    if not texts:
+        return Model([], np.zeros((0, DIM), np.float32), np.zeros(DIM, np.float32), np.zeros((0, len(SHORT) + 1)))
+    idf = (np.log((1 + texts) / (1 + sum(np.frombuffer(r["found"], np.int64) for r in parts))) + 1).astype(np.float32)
+
+    def one(key, batch):
+        counts = np.stack([np.frombuffer(g.as_buffer(), np.float32) for g in batch.column("grams")])
+        x = weigh(counts, idf).astype(np.float32)
+        order = np.argsort(x @ np.random.default_rng(0).normal(size=DIM), kind="stable")  # whatever order the rows came in
+        x, size = x[order], counts.sum(1)[order]
+        c = centroids(x)
+        cols = [c.tobytes(), (x @ c.T).argmax(axis=1).astype(np.int64).tobytes(), size.astype(np.float32).tobytes(), left_out(x).tobytes()]
+        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), **{k: pa.array([v], pa.binary()) for k, v in zip(("c", "near", "size", "cosine"), cols)}})
+
+    fitted = sorted(sample.groupBy("lang").applyInArrow(one, "lang string, c binary, near binary, size binary, cosine binary").collect(), key=lambda r: r["lang"])
+    cents = [np.frombuffer(r["c"], np.float32).reshape(-1, DIM) for r in fitted]
+    first = np.cumsum([0, *map(len, cents)])
+    names = [r["lang"] for r, c in zip(fitted, cents) for _ in c]
+    near = [np.frombuffer(r["near"], np.int64) for r in fitted]
+    langs = np.array([r["lang"] for r, n in zip(fitted, near) for _ in n], object)
+    flat = lambda k: np.concatenate([np.frombuffer(r[k], np.float32) for r in fitted])
+    reach = bounds(np.array(names, object), np.concatenate([n + f for n, f in zip(near, first)]), langs, flat("size"), flat("cosine"))
+    return Model(names, np.concatenate(cents), idf, reach)
 
 
 SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"

@@ -81,6 +81,21 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predict(table, langid.fit_documents(table.limit(0))).collect()} == {"und"}
 
 
+def test_language_rejects_what_was_never_learned(spark):
+    rng = random.Random(4)
+    lists = {l: ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(150)] for l, parts in {"en": ["the", "ing", "ow", "ly"], "de": ["der", "sch", "ung", "ei"]}.items()}
+    make = lambda words, n=90: " ".join(rng.choice(words) for _ in range(n))
+    other = ["".join(rng.choice(["kää", "yys", "vai", "ttu", "llo"]) for _ in range(rng.randint(1, 3))) for _ in range(150)]
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    texts = [make(lists[l]) for l in ("en", "de") for _ in range(100)]
+    odd = "the ing " + make(letters)  # one odd training text
+    fresh = [make(lists[l]) for l in ("en", "de") for _ in range(20)]
+    new = [make(other) for _ in range(10)] + [make(letters) for _ in range(10)]
+    model = langid.fit_documents(docs(spark, texts + [odd], ["en"] * 100 + ["de"] * 100 + ["en"]))
+    assert sum(r for _, _, r in model.predict(fresh)) <= 2
+    assert all(r for _, _, r in model.predict(new))
+
+
 def test_covering_masks():
     m = [x & (1 << 64) - 1 for x in simhash.masks()]
     assert len(m) == 7
