@@ -23,8 +23,6 @@ from .common import crc_fold, measured, stable, table
 DIM, CENTROIDS, ROUNDS = 4096, 4, 12
 #: Training texts of each language, on average: the model is fitted on a hash sample.
 PER_LANGUAGE = 500
-#: Languages with the most labelled texts that the model keeps at most.
-LANGUAGES = 256
 #: The quantile of the cosines of left-out texts below which a text is rejected.
 REJECT = 0.005
 #: Texts that lie close together reach this many times as far below their median as
@@ -185,7 +183,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     a hash of ``key``.  Each language is fitted in a task of its own, which gets the
     counts of its texts (16 kB each); the driver gets the centroids."""
     rows = labelled.where("lang is not null and text is not null")
-    per = measured(stable(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)), 96)
+    per = measured(stable(rows.groupBy("lang").count()), 96)
     picked = rows.join(per, "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")) * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +233,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     Only the text is looked at.  ``score`` is the cosine to the nearest centroid.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 16 kB a centroid, LANGUAGES * CENTROIDS at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 16 kB a centroid, CENTROIDS a language at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,5 +1,6 @@
 """The ten operators against brute force, and their edge cases."""
 
+import binascii
 import hashlib
 import itertools
 import random
@@ -96,6 +97,13 @@ def test_language_rejects_what_was_never_learned(spark):
     assert all(r for _, _, r in model.predict(new))
 
 
+def test_language_keeps_every_label(spark):
+    langs = [f"l{i:03}" for i in range(260) for _ in range(2)] + ["zz"]
+    model = langid.fit_documents(docs(spark, [f"{chr(0x4E00 + i // 2)} text" for i in range(521)], langs))
+    kept = {l for i, l in enumerate(langs) if binascii.crc32(str(i).encode()) % 4 != 2}
+    assert len(kept) > 256 and set(model.languages) == kept
+
+
 def test_covering_masks():
     m = [x & (1 << 64) - 1 for x in simhash.masks()]
     assert len(m) == 7
