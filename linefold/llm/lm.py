@@ -279,8 +279,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     Null and empty texts are a lone end.  ``score`` is the log10 of a proper
     distribution: a rarer word has the probability of the class of rare words times
     its share there, ``(c + 1) / (rare tokens + rare types + 1)``.  The table of
-    counts is broadcast while it fits in ``BROADCAST_BYTES``; beyond, the tokens are
-    joined with it (then doc_id must be unique and not null).
+    counts is broadcast while it fits in ``BROADCAST_BYTES``; beyond, the rows are
+    numbered and written, and their tokens joined with it.  Ids may be null or repeated.
     """
     spark = docs.sparkSession
     small = model.types * WORD_BYTES <= BROADCAST_BYTES
@@ -292,7 +292,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         own, keys, c = sent.value
         scorer = Scorer(own)
         for batch in batches:
-            for begin, texts in runs(batch, 1):
+            for begin, texts in runs(batch, batch.num_columns - 1):
                 h, sizes = hashes(texts)
                 unique, which = np.unique(h, return_inverse=True)
                 w_of = own.classes(unique)
@@ -306,10 +306,13 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                     logs += np.where(w_of == RARE, rare_log(seen), 0.0)[which]
                 cols = [sizes, _sums((seen > 0).astype(np.int64)[which], sizes), _sums(base_log(seen)[which], sizes), _sums(logs, sizes)]
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *[pa.array(x, t) for x, t in zip(cols, types)]], [f.split()[0] for f in SCHEMA.split(", ")])
+                yield pa.RecordBatch.from_arrays([*[x.slice(begin, len(texts)) for x in batch.columns[:-1]], *[pa.array(x, t) for x, t in zip(cols, types)]], [f.split()[0] for f in schema.split(", ")])
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    got = keyed.mapInArrow(run, SCHEMA)
+    schema = SCHEMA if small else f"row long, {SCHEMA}"
+    if not small:
+        keyed = stable(keyed.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    got = keyed.mapInArrow(run, schema)
     if not small:
         got = _joined(keyed, got, model, counts)
     return got.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
@@ -320,21 +323,21 @@ def _joined(keyed: DataFrame, got: DataFrame, model: Model, counts: DataFrame) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, texts in runs(batch, 1):
+            for begin, texts in runs(batch, 2):
                 h, sizes = hashes(texts)
                 ids = batch.column(0).slice(begin, len(texts)).to_numpy()
-                frame = pd.DataFrame({"doc_id": np.repeat(ids, sizes), "hash": h}).value_counts(sort=False).reset_index(name="tf")
+                frame = pd.DataFrame({"row": np.repeat(ids, sizes), "hash": h}).value_counts(sort=False).reset_index(name="tf")
                 frame["rare"] = model.classes(frame["hash"].to_numpy()) == RARE
                 yield pa.RecordBatch.from_pandas(frame.astype({"tf": "int64"}), preserve_index=False)
 
-    tokens = keyed.mapInArrow(run, "doc_id long, hash long, tf long, rare boolean")
+    tokens = keyed.mapInArrow(run, "row long, hash long, tf long, rare boolean")
     c = F.coalesce("c", F.lit(0))
     base = F.log10((c + 1) / F.lit(float(model.tokens + model.types + 1)))
     rare = F.when(F.col("rare"), F.log10((c + 1) / F.lit(float(model.rare_tokens + model.rare_types + 1)))).otherwise(0.0)
-    sums = tokens.join(counts, "hash", "left").groupBy("doc_id").agg(
+    sums = tokens.join(counts, "hash", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"), F.sum(F.col("tf") * base).alias("base"), F.sum(F.col("tf") * rare).alias("rest")
     )
-    return got.join(sums, "doc_id").select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.col("base").alias("base_score"), (F.col("score") + F.col("rest")).alias("score"))
+    return got.join(sums, "row", "left").select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.col("base").alias("base_score"), (F.col("score") + F.col("rest")).alias("score"))
 
 
 def held_out(key: Column) -> Column:
