@@ -8,7 +8,7 @@ text map to word numbers, and word numbers to code-point offsets in the original
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -26,6 +26,8 @@ BLOCK_BYTES = 4 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Every ASCII byte that is not in a word becomes a space; A-Z become a-z.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+#: The column that numbers the rows where the benchmark has several blocks.
+ROW = "_row"
 SCHEMA = "doc_id long, n_words long, hits array<struct<first:int,last:int>>, spans array<struct<begin:int,end:int>>, items array<long>"
 
 
@@ -86,24 +88,51 @@ def original(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _pass(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
     held: dict[str, ahocorasick.Automaton | None] = {}
+    ids = [ROW] if ROW in docs.columns else []
     sent = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = held["it"] if "it" in held else held.setdefault("it", automaton(sent.value))
         for batch in batches:
             cols: list[list] = [[], [], [], []]
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(batch.num_columns - 1).to_pylist():
                 n, runs, found = scan(text, made)
                 spans = original(text, runs) if runs else []
                 for c, v in zip(cols, (n, [{"first": a, "last": b} for a, b in runs], [{"begin": a, "end": b} for a, b in spans], sorted(found))):
                     c.append(v)
             pair = lambda a, b: pa.list_(pa.struct([(a, pa.int32()), (b, pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pair("first", "last")), pa.array(cols[2], pair("begin", "end")), pa.array(cols[3], pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "hits", "spans", "items"],
+                [*batch.columns[:-1], pa.array(cols[0], pa.int64()), pa.array(cols[1], pair("first", "last")), pa.array(cols[2], pair("begin", "end")), pa.array(cols[3], pa.list_(pa.int64()))],
+                [*ids, "doc_id", "n_words", "hits", "spans", "items"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(*ids, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{ROW} long, {SCHEMA}" if ids else SCHEMA)
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> list[Callable[[], list[tuple[int, str | None]]]]:
+    """What loads each block of the items."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    return [lambda b=b: [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()] for b in range(blocks)]
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row, which stays whatever is read again."""
+    return stable(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _passes(numbered: DataFrame, blocks: list[Callable[[], list[tuple[int, str | None]]]]) -> DataFrame:
+    first, *more = [_pass(numbered, load()) for load in blocks]
+    sparse = None
+    for df in [first, *more]:
+        part = stable(df.where("size(items) > 0").select(ROW, F.explode("items").alias("item"), "hits", "spans"))
+        sparse = part if sparse is None else sparse.unionAll(part)
+    gathered = sparse.groupBy(ROW).agg(F.array_sort(F.collect_set("item")).alias("items"), F.flatten(F.collect_set("hits")).alias("hits"), F.flatten(F.collect_set("spans")).alias("spans"))
+    gathered = map_arrow(gathered.select(ROW, "items", "hits", "spans"), _merged, f"{ROW} long, items array<long>, hits array<struct<first:int,last:int>>, spans array<struct<begin:int,end:int>>")
+    counted = first.select(ROW, "doc_id", "n_words")
+    empty = lambda c: F.coalesce(c, F.array().cast(gathered.schema[c].dataType)).alias(c)
+    return counted.join(gathered, ROW, "left").select(ROW, "doc_id", "n_words", empty("hits"), empty("spans"), empty("items"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -114,25 +143,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTE
     Null and empty texts have no words and no hits; items without words (null,
     empty) and rows without item_id have no windows; repeated items count once.
     A benchmark beyond ``block_bytes`` is split by a hash of its ids into blocks of
-    about that size; each block is one more pass, whose few hits are written and
-    then joined by doc_id (which must then be unique).
+    about that size; the documents are numbered and written, each block is one more
+    pass over them, and its few hits are written and joined by the number of the row.
+    Ids may be null or repeated.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    load = lambda b: [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()]
-    if blocks == 1:
-        return _pass(docs, load(0))
-    first, *more = [_pass(docs, load(b)) for b in range(blocks)]
-    sparse = None
-    for df in [first, *more]:
-        part = stable(df.where("size(items) > 0").select("doc_id", F.explode("items").alias("item"), "hits", "spans"))
-        sparse = part if sparse is None else sparse.unionAll(part)
-    gathered = sparse.groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items"), F.flatten(F.collect_set("hits")).alias("hits"), F.flatten(F.collect_set("spans")).alias("spans"))
-    gathered = map_arrow(gathered.select("doc_id", "items", "hits", "spans"), _merged, "doc_id long, items array<long>, hits array<struct<first:int,last:int>>, spans array<struct<begin:int,end:int>>")
-    counted = first.select("doc_id", "n_words")
-    empty = lambda c: F.coalesce(c, F.array().cast(gathered.schema[c].dataType)).alias(c)
-    return counted.join(gathered, "doc_id", "left").select("doc_id", "n_words", empty("hits"), empty("spans"), empty("items"))
+    blocks = _blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        return _pass(docs, blocks[0]())
+    return _passes(_numbered(docs.select("doc_id", "text")), blocks).drop(ROW)
 
 
 def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -150,7 +168,7 @@ def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
 
     hits = union(batch.column(2).to_pylist(), "first", "last", 1)
     spans = union(batch.column(3).to_pylist(), "begin", "end", 0)
-    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, batch.column(2).type), pa.array(spans, batch.column(3).type)], ["doc_id", "items", "hits", "spans"])
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, batch.column(2).type), pa.array(spans, batch.column(3).type)], [ROW, "items", "hits", "spans"])
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -163,10 +181,30 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that are not contaminated, with all columns; rows without id stay."""
-    bad = measured(stable(digest(matches(docs, benchmark)).where("contaminated and doc_id is not null").select(F.col("doc_id").alias("_bad_id")).distinct()), 32)
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("_bad_id"), "left_anti")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Documents that are not contaminated, with all columns.  Decided row by row, so
+    ids may be null or repeated."""
+    blocks = _blocks(benchmark, block_bytes)
+    if len(blocks) > 1:
+        numbered = _numbered(docs)
+        hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
+        bad = _passes(numbered, blocks).where((hit > 0) & (20 * hit >= F.col("n_words"))).select(ROW)
+        return numbered.join(measured(stable(bad), 32), ROW, "left_anti").select(*docs.columns)
+    held: dict[str, ahocorasick.Automaton | None] = {}
+    sent = docs.sparkSession.sparkContext.broadcast(blocks[0]())
+    at = docs.columns.index("text")
+
+    def clean(text: str | None, made: ahocorasick.Automaton | None) -> bool:
+        n, runs, _ = scan(text, made)
+        hit = sum(b - a + 1 for a, b in runs)
+        return not hit or 20 * hit < n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = held["it"] if "it" in held else held.setdefault("it", automaton(sent.value))
+        for batch in batches:
+            yield batch.filter(pa.array([clean(t, made) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,6 +176,17 @@ def test_decontamination(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if not brute(t)[4]}
 
 
+def test_decontamination_of_null_and_repeated_ids(spark):
+    base = corpus(30, 9)
+    bench = spark.createDataFrame([(i, base[i]) for i in range(6)], "item_id long, text string")
+    rows = [(i, base[i // 2] if i % 2 else "clean text of its own " * 9 + str(i)) for i in range(10)]
+    table = spark.createDataFrame([((None, 7)[i % 2 ^ i // 4 % 2], t, i) for i, t in rows], "doc_id long, text string, mark long").repartition(3)
+    for block in (1 << 20, 64):
+        got = decontaminate.digest(decontaminate.matches(table, bench, block)).collect()
+        assert sorted((r.n_words, r.n_hit) for r in got) == sorted((len(t.split()), len(t.split()) if i % 2 else 0) for i, t in rows)
+        assert sorted(r.mark for r in decontaminate.keep_clean(table, bench, block).collect()) == [0, 2, 4, 6, 8]
+
+
 def test_bpe(spark):
     path, pattern = bpe.tokenizer()
     ranks = bpe.read_ranks(open(path, "rb").read())
