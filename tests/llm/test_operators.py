@@ -181,7 +181,7 @@ def test_decontamination_of_null_and_repeated_ids(spark):
     bench = spark.createDataFrame([(i, base[i]) for i in range(6)], "item_id long, text string")
     rows = [(i, base[i // 2] if i % 2 else "clean text of its own " * 9 + str(i)) for i in range(10)]
     table = spark.createDataFrame([((None, 7)[i % 2 ^ i // 4 % 2], t, i) for i, t in rows], "doc_id long, text string, mark long").repartition(3)
-    for block in (1 << 20, 64):
+    for block in (1 << 20, 800):
         got = decontaminate.digest(decontaminate.matches(table, bench, block)).collect()
         assert sorted((r.n_words, r.n_hit) for r in got) == sorted((len(t.split()), len(t.split()) if i % 2 else 0) for i, t in rows)
         assert sorted(r.mark for r in decontaminate.keep_clean(table, bench, block).collect()) == [0, 2, 4, 6, 8]
@@ -233,6 +233,13 @@ def test_wrapper():
     assert wrapper.induce([article, article]) is None
 
 
+def test_wrapper_aligns_whole_trees():
+    menu = "".join(f"<div class=m{i}><ul><li>x{i}</li></ul></div>" for i in range(450))
+    pages = [f"<body><div class=topline><p>date {k}</p></div>{menu}<article><p>Article {k} of the host</p></article></body>" for k in range(4)]
+    assert wrapper.extract(pages[0], wrapper.induce(pages)) == "Article 0 of the host"
+    assert wrapper.extract(pages[0], "/body/div.topline") == "Article 0 of the host"
+
+
 def test_language_model(spark):
     texts = corpus(50) + EDGE
     table = docs(spark, texts)
