@@ -233,6 +233,17 @@ def test_wrapper():
     assert wrapper.induce([article, article]) is None
 
 
+def test_wrapper_class_words_do_not_drop_the_article():
+    for name in ("site no-sidebar", "has-sidebar"):
+        assert wrapper.extract(f'<body><div class="{name}"><article><p>one</p></article></div></body>') == "one"
+        assert wrapper.extract(f'<body><div class="{name}"><div><p>some text</p></div></div></body>') == "some text"
+    inside = '<article><section id="discussion"><p>a</p></section><h2 id="related-work">b</h2><p id="share-prices">c <span class="search-term">d</span></p></article>'
+    assert wrapper.extract(inside) == "a\nb\nc d"
+    pages = [f"<body><div id=content><p>Text of page {k} at length</p><div class=box><p>Buy now</p></div><div class=promo><p>Part {k}</p></div></div></body>" for k in range(4)]
+    way = wrapper.induce(pages)
+    assert wrapper.extract(pages[1], "/body/div.content", *wrapper.template(pages, "/body/div.content")) == "Text of page 1 at length\nPart 1" and way
+
+
 def test_wrapper_aligns_whole_trees():
     menu = "".join(f"<div class=m{i}><ul><li>x{i}</li></ul></div>" for i in range(450))
     pages = [f"<body><div class=topline><p>date {k}</p></div>{menu}<article><p>Article {k} of the host</p></article></body>" for k in range(4)]
