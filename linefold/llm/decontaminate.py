@@ -1,17 +1,18 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 The benchmark items become windows of ``WINDOW`` normalised words; one automaton
-over all windows scans each document once.  Ends of matches in the normalised
-text map to word numbers, and word numbers to code-point offsets in the original.
+over all windows scans each document once.  Its letters are numbers of benchmark
+words, so a window has at most ``WINDOW`` nodes however long its words are.  A match
+ends at a word number, and word numbers map to code-point offsets in the original.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from .common import map_arrow, measured, stable, table
 
 WINDOW = 13
-#: Bytes of benchmark text that one automaton takes; a larger benchmark is scanned
-#: in several passes, each over all documents.
-BLOCK_BYTES = 4 << 20
+#: Benchmark words that one automaton takes, with at most ``WINDOW`` nodes each (about
+#: 150 MB in a worker); a larger benchmark is scanned in several passes over all documents.
+BLOCK_WORDS = 150_000
+#: Windows of an item that stay together; a longer item is cut into overlapping pieces.
+PIECE = 2_000
 #: A word in text whose A-Z are not lower-cased yet.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Every ASCII byte that is not in a word becomes a space; A-Z become a-z.
@@ -35,49 +38,46 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-def windows(text: str | None) -> list[bytes]:
-    w = words(text)
-    return [b" ".join(w[i : i + WINDOW]) for i in range(max(1, len(w) - WINDOW + 1))] if w else []
-
-
-def automaton(items: list[tuple[int, str | None]]) -> ahocorasick.Automaton | None:
-    """Over all windows; a value holds the window's words and its items."""
-    owners: dict[bytes, set[int]] = {}
-    for item, text in items:
-        for w in windows(text):
-            owners.setdefault(w, set()).add(item)
-    if not owners:
-        return None
-    made = ahocorasick.Automaton()
-    for w, ids in owners.items():
-        made.add_word(f" {w.decode('utf-8', 'surrogatepass')} ", (w.count(b" ") + 1, sorted(ids)))
-    made.make_automaton()
-    return made
-
-
-def scan(text: str | None, made: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
-    """Number of words; merged runs (first, last) of hit words; items found."""
-    w = words(text)
-    if not w or made is None:
-        return len(w), [], set()
-    line = f" {b' '.join(w).decode('utf-8', 'surrogatepass')} "
-    found = list(made.iter(line))
-    if not found:
-        return len(w), [], set()
-    ends = np.array([len(x.decode("utf-8", "surrogatepass")) + 1 for x in w]).cumsum()  # index of the space behind each word
-    items: set[int] = set()
-    runs: list[list[int]] = []
-    spans = []
-    for end, (n, ids) in found:
-        last = int(np.searchsorted(ends, end))
-        spans.append((last - n + 1, last))
-        items.update(ids)
-    for first, last in sorted(spans):
-        if runs and first <= runs[-1][1] + 1:
-            runs[-1][1] = max(runs[-1][1], last)
-        else:
-            runs.append([first, last])
-    return len(w), [(a, b) for a, b in runs], items
+class Windows:
+    """One automaton over all windows of pieces ``(item, words)``; each piece is a run of
+    an item's words, and a piece shorter than a window is one window."""
+
+    def __init__(self, pieces: list[tuple[int, list[bytes]]]) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.owners: list[set[int]] = []
+        self.lengths: list[int] = []
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for item, own in pieces:
+            ids = tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in own)
+            for i in range(max(1, len(ids) - WINDOW + 1) if ids else 0):
+                window = ids[i : i + WINDOW]
+                at = self.automaton.get(window, -1)
+                if at < 0:
+                    at = len(self.owners)
+                    self.automaton.add_word(window, at)
+                    self.owners.append(set())
+                    self.lengths.append(len(window))
+                self.owners[at].add(item)
+        if self.owners:
+            self.automaton.make_automaton()
+
+    def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[int]]:
+        """Number of words; merged runs (first, last) of hit words; items found."""
+        w = words(text)
+        if not w or not self.owners:
+            return len(w), [], set()
+        number = self.numbers.get
+        found = list(self.automaton.iter(tuple([number(x, 0) for x in w])))
+        items: set[int] = set()
+        runs: list[list[int]] = []
+        for first, last in sorted((last - self.lengths[at] + 1, last) for last, at in found):
+            if runs and first <= runs[-1][1] + 1:
+                runs[-1][1] = max(runs[-1][1], last)
+            else:
+                runs.append([first, last])
+        for at in {at for _, at in found}:
+            items |= self.owners[at]
+        return len(w), [(a, b) for a, b in runs], items
 
 
 def original(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -86,17 +86,36 @@ def original(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(at[a][0], at[b][1]) for a, b in runs]
 
 
-def _pass(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
-    held: dict[str, ahocorasick.Automaton | None] = {}
+Load = Callable[[], list[tuple[int, list[bytes]]]]
+
+
+_MADE: dict[str, Windows] = {}
+
+
+def _windows(spark: SparkSession, pieces: list[tuple[int, list[bytes]]]) -> Callable[[], Windows]:
+    """What gives a worker the automaton; a worker builds it once and holds one."""
+    name = uuid.uuid4().hex
+    sent = spark.sparkContext.broadcast(pieces)  # BLOCK_WORDS words
+
+    def made() -> Windows:
+        if name not in _MADE:
+            _MADE.clear()
+            _MADE[name] = Windows(sent.value)
+        return _MADE[name]
+
+    return made
+
+
+def _pass(docs: DataFrame, pieces: list[tuple[int, list[bytes]]]) -> DataFrame:
     ids = [ROW] if ROW in docs.columns else []
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+    made = _windows(docs.sparkSession, pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = held["it"] if "it" in held else held.setdefault("it", automaton(sent.value))
+        own = made()
         for batch in batches:
             cols: list[list] = [[], [], [], []]
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                n, runs, found = scan(text, made)
+                n, runs, found = own.scan(text)
                 spans = original(text, runs) if runs else []
                 for c, v in zip(cols, (n, [{"first": a, "last": b} for a, b in runs], [{"begin": a, "end": b} for a, b in spans], sorted(found))):
                     c.append(v)
@@ -109,12 +128,15 @@ def _pass(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
     return docs.select(*ids, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{ROW} long, {SCHEMA}" if ids else SCHEMA)
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[Callable[[], list[tuple[int, str | None]]]]:
-    """What loads each block of the items."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    return [lambda b=b: [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()] for b in range(blocks)]
+def _blocks(benchmark: DataFrame, block_words: int) -> list[Load]:
+    """What loads each block of pieces of the items, of about ``block_words`` words."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.regexp_extract_all(lower, F.lit(WORD.pattern), F.lit(0)).alias("w")).where("item_id is not null and size(w) > 0")
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("w") - WINDOW), F.lit(PIECE))
+    pieces = items.select("item_id", "w", F.explode(starts).alias("at")).select("item_id", "at", F.slice("w", F.col("at") + 1, F.lit(PIECE + WINDOW - 1)).alias("w"))
+    blocks = max(1, -(-(pieces.agg(F.sum(F.size("w"))).first()[0] or 0) // block_words))
+    pick = lambda b: pieces.where(F.pmod(F.xxhash64("item_id", "at"), F.lit(blocks)) == b).select("item_id", "w")
+    return [lambda b=b: [(r[0], [x.encode("utf-8", "surrogatepass") for x in r[1]]) for r in pick(b).collect()] for b in range(blocks)]
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -122,7 +144,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return stable(docs.withColumn(ROW, F.monotonically_increasing_id()))
 
 
-def _passes(numbered: DataFrame, blocks: list[Callable[[], list[tuple[int, str | None]]]]) -> DataFrame:
+def _passes(numbered: DataFrame, blocks: list[Load]) -> DataFrame:
     first, *more = [_pass(numbered, load()) for load in blocks]
     sparse = None
     for df in [first, *more]:
@@ -135,19 +157,19 @@ def _passes(numbered: DataFrame, blocks: list[Callable[[], list[tuple[int, str |
     return counted.join(gathered, ROW, "left").select(ROW, "doc_id", "n_words", empty("hits"), empty("spans"), empty("items"))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """A row per document: ``doc_id, n_words, hits`` (merged runs of word
     numbers), ``spans`` (the same as code-point offsets in the original text) and
     ``items`` (sorted ids of the items with an occurring window).
 
     Null and empty texts have no words and no hits; items without words (null,
     empty) and rows without item_id have no windows; repeated items count once.
-    A benchmark beyond ``block_bytes`` is split by a hash of its ids into blocks of
-    about that size; the documents are numbered and written, each block is one more
+    A benchmark beyond ``block_words`` words is split by a hash of its pieces into blocks
+    of about that size; the documents are numbered and written, each block is one more
     pass over them, and its few hits are written and joined by the number of the row.
     Ids may be null or repeated.
     """
-    blocks = _blocks(benchmark, block_bytes)
+    blocks = _blocks(benchmark, block_words)
     if len(blocks) == 1:
         return _pass(docs, blocks[0]())
     return _passes(_numbered(docs.select("doc_id", "text")), blocks).drop(ROW)
@@ -181,28 +203,27 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Documents that are not contaminated, with all columns.  Decided row by row, so
     ids may be null or repeated."""
-    blocks = _blocks(benchmark, block_bytes)
+    blocks = _blocks(benchmark, block_words)
     if len(blocks) > 1:
         numbered = _numbered(docs)
         hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
         bad = _passes(numbered, blocks).where((hit > 0) & (20 * hit >= F.col("n_words"))).select(ROW)
         return numbered.join(measured(stable(bad), 32), ROW, "left_anti").select(*docs.columns)
-    held: dict[str, ahocorasick.Automaton | None] = {}
-    sent = docs.sparkSession.sparkContext.broadcast(blocks[0]())
+    made = _windows(docs.sparkSession, blocks[0]())
     at = docs.columns.index("text")
 
-    def clean(text: str | None, made: ahocorasick.Automaton | None) -> bool:
-        n, runs, _ = scan(text, made)
+    def clean(text: str | None, own: Windows) -> bool:
+        n, runs, _ = own.scan(text)
         hit = sum(b - a + 1 for a, b in runs)
         return not hit or 20 * hit < n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = held["it"] if "it" in held else held.setdefault("it", automaton(sent.value))
+        own = made()
         for batch in batches:
-            yield batch.filter(pa.array([clean(t, made) for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([clean(t, own) for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -145,7 +145,7 @@ def test_simhash(spark):
     assert simhash.near_duplicates(table.limit(0)).count() == 0
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     base = corpus(30, 9)
     items = [(1, " ".join(base[0].split()[:20])), (2, "Short Item"), (10, base[1]), (3, None), (4, ""), (None, "x"), (1, " ".join(base[0].split()[:20]))]
     texts = base + ["x " + base[0].upper() + "!!", "a short-item here, SHORT item", "short items"] + EDGE
@@ -167,13 +167,17 @@ def test_decontamination(spark):
         ids = ",".join(sorted(map(str, found)))
         return len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)
 
-    for block in (1 << 20, 64):
+    for block, piece in ((1 << 20, 2000), (30, 4)):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
         got = {r.doc_id: tuple(r)[1:] for r in decontaminate.digest(decontaminate.matches(docs(spark, texts), bench, block)).collect()}
         assert got == {i: brute(t) for i, t in enumerate(texts)}
     span = decontaminate.matches(docs(spark, ["Oh: SHORT, item!"]), bench).first().spans[0]
     assert "Oh: SHORT, item!"[span.begin : span.end] == "SHORT, item"
-    kept = decontaminate.keep_clean(docs(spark, texts), bench)
-    assert {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if not brute(t)[4]}
+    for block in (1 << 20, 30):
+        kept = decontaminate.keep_clean(docs(spark, texts), bench, block)
+        assert {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if not brute(t)[4]}
+    assert decontaminate.matches(docs(spark, texts).limit(0), bench).count() == 0
+    assert {r.n_hit for r in decontaminate.digest(decontaminate.matches(docs(spark, texts), bench.limit(0))).collect()} == {0}
 
 
 def test_decontamination_of_null_and_repeated_ids(spark):
@@ -181,10 +185,10 @@ def test_decontamination_of_null_and_repeated_ids(spark):
     bench = spark.createDataFrame([(i, base[i]) for i in range(6)], "item_id long, text string")
     rows = [(i, base[i // 2] if i % 2 else "clean text of its own " * 9 + str(i)) for i in range(10)]
     table = spark.createDataFrame([((None, 7)[i % 2 ^ i // 4 % 2], t, i) for i, t in rows], "doc_id long, text string, mark long").repartition(3)
-    for block in (1 << 20, 800):
+    for block in (1 << 20, 90):
         got = decontaminate.digest(decontaminate.matches(table, bench, block)).collect()
         assert sorted((r.n_words, r.n_hit) for r in got) == sorted((len(t.split()), len(t.split()) if i % 2 else 0) for i, t in rows)
-    for block in (1 << 20, 800):
+    for block in (1 << 20, 90):
         assert sorted(r.mark for r in decontaminate.keep_clean(table, bench, block).collect()) == [0, 2, 4, 6, 8]
 
 
