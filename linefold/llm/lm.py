@@ -1,37 +1,40 @@
 """Log-bilinear language model with noise-contrastive estimation, in numpy.
 
-Words are told apart by a 64-bit hash.  The ``CLASSES`` most frequent training words
-have embeddings of their own; all others share one class, and within it a word has
-its add-one smoothed frequency.  The vector predicted from the two words before is
-a sum of linearly transformed context embeddings; a token's score is its dot product
-with the token's target embedding plus a bias.
+Words are told apart by a 64-bit hash.  The output is a tree of two levels whose size
+grows with the square root of the vocabulary: groups, and in each group as many leaves.
+Each of the most frequent training words is a leaf of its own; the others, and words
+never seen, share hashed leaves, and within its leaf a word has its add-one smoothed
+frequency.  The vector predicted from the leaves of the two words before is a sum of
+linearly transformed embeddings; the score of a group or of a leaf is its dot product
+with the embedding there plus a bias.
 
 Every training document is learned from: each task runs noise-contrastive steps on
 its own tokens from one common start, and the parameters are averaged with the
-numbers of tokens as weights.  For scoring, the normaliser of a context is computed
-by a matrix product over all classes, once per context and worker.
+numbers of tokens as weights.  For scoring, groups, and leaves within their group, are
+normalised by matrix products over all of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, crc_fold, stable, table
+from .common import crc_fold, stable, table
 
-#: Classes: 0 begin (context only), 1 end, 2 any rarer word, then frequent words.
-CLASSES, WIDTH, NOISE, BATCH, RATE = 1024, 32, 64, 4096, 0.15
-BEGIN, END, RARE = 0, 1, 2
+#: Leaves: 0 begin (context only), 1 end, then frequent words, then hashed leaves.  There
+#: are ``max(LEAST, PER_ROOT * sqrt(V))`` frequent words and a quarter as many hashed leaves.
+BEGIN, END, LEAST, PER_ROOT = 0, 1, 1021, 2
+WIDTH, NOISE, GROUP_NOISE, BATCH, RATE = 32, 40, 16, 4096, 0.15
+#: Words whose counts every worker holds, the most frequent; other counts are joined.
+HELD = 1 << 18
 #: Texts are taken in runs of about so many bytes.
 RUN_BYTES = 4 << 20
-#: Bytes that one word takes in the broadcast table of counts.
-WORD_BYTES = 16
 _rng = np.random.default_rng(20240607)
 _MIX = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -41,6 +44,8 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _POWER: list[np.ndarray] = [np.ones(1, np.uint64)]
 #: The hash of the end token; no word has an even hash.
 END_HASH = np.int64(0)
+#: The hashed leaf of a word comes from the bits of its hash above so many.
+SHIFT = 20
 
 
 def hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,17 +102,51 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    top: np.ndarray  # sorted hashes of the words with a class
-    top_class: np.ndarray
-    params: dict[str, np.ndarray]
+    top: np.ndarray  # sorted hashes of the words with a leaf of their own, the end too
+    top_leaf: np.ndarray
+    mass: np.ndarray  # training tokens of each leaf
+    kinds: np.ndarray  # training words of each leaf
+    hashed: int  # the leaves from this one on are hashed
     tokens: int  # N
     types: int  # V
-    rare_tokens: int
-    rare_types: int
+    held: np.ndarray  # sorted hashes of the words whose counts are held
+    counts: np.ndarray
+    params: dict[str, np.ndarray]  # q and b: leaves, then groups
 
-    def classes(self, h: np.ndarray) -> np.ndarray:
+    @property
+    def leaves(self) -> int:
+        return len(self.mass)
+
+    @property
+    def width(self) -> int:
+        """Leaves of a group."""
+        return math.isqrt(self.leaves - 1) + 1
+
+    @property
+    def groups(self) -> int:
+        return -(-(self.leaves - 1) // self.width)
+
+    def leaf(self, h: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.top, h), len(self.top) - 1)
-        return np.where(self.top[at] == h, self.top_class[at], RARE)
+        rest = self.hashed + (h.view(np.uint64) >> np.uint64(SHIFT)) % np.uint64(self.leaves - self.hashed)
+        return np.where(self.top[at] == h, self.top_leaf[at], rest.astype(np.int64))
+
+    def group(self, leaf: np.ndarray) -> np.ndarray:
+        return (leaf - 1) // self.width
+
+    def count(self, h: np.ndarray) -> np.ndarray:
+        """The training count of each word that is held, 0 for others."""
+        if not len(self.held):
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.held, h), len(self.held) - 1)
+        return np.where(self.held[at] == h, self.counts[at], 0)
+
+    def unigrams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Smoothed shares of the leaves (begin: none) and of the groups."""
+        leaf = self.mass + 0.5
+        leaf[BEGIN] = 0
+        leaf /= leaf.sum()
+        return leaf, np.bincount(self.group(np.arange(1, self.leaves)), leaf[1:], self.groups)
 
 
 def contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,73 +159,136 @@ def contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     return one, two
 
 
-def start(unigram: np.ndarray) -> dict[str, np.ndarray]:
+def start(model: Model) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(7)
-    k = len(unigram)
     near = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
     eye = np.eye(WIDTH, dtype=np.float32)
-    return {"r": near(k, WIDTH), "q": near(k, WIDTH), "c1": eye * 0.7, "c2": eye * 0.3, "b": np.log(unigram).astype(np.float32)}
+    shares = np.concatenate(model.unigrams())
+    return {"r": near(model.leaves, WIDTH), "q": near(len(shares), WIDTH), "c1": eye * 0.7, "c2": eye * 0.3, "b": np.log(np.maximum(shares, 1e-12)).astype(np.float32)}
+
+
+def _step(p: dict[str, np.ndarray], adapt: dict[str, np.ndarray], name: str, at, grad: np.ndarray) -> None:
+    """An AdaGrad step on some rows, which must differ."""
+    adapt[name][at] += grad * grad
+    p[name][at] += RATE * grad / np.sqrt(adapt[name][at] + 1e-8)
+
 
+def _drawn(shares: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    draw = np.cumsum(shares)
+    return np.minimum(np.searchsorted(draw, rng.random(n) * draw[-1], side="right"), len(shares) - 1)
 
-def _add(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
-    keys = at[order]
+
+def _by_key(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sums of their rows; ``keys`` must be sorted."""
     first = np.flatnonzero(np.diff(keys, prepend=-1))
-    into[keys[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return keys[first], np.add.reduceat(rows, first, axis=0)
+
 
+def _small(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint16) if len(x) and x.max() < 65536 else x  # sorted by digits
 
-def learn(p: dict[str, np.ndarray], adapt: dict[str, np.ndarray], unigram: np.ndarray, w: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator) -> None:
-    """Noise-contrastive AdaGrad steps over shuffled tokens, in place; each step
-    shares ``NOISE`` noise tokens drawn from the unigram distribution."""
-    log_noise = np.log(NOISE * unigram).astype(np.float32)
-    order = rng.permutation(len(w))
-    draw = np.cumsum(unigram)
+
+def learn(p: dict[str, np.ndarray], adapt: dict[str, np.ndarray], model: Model, w: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator) -> None:
+    """Noise-contrastive AdaGrad steps over shuffled tokens, in place.  Each step tells
+    the tokens' leaves from ``NOISE`` leaves, and their groups from ``GROUP_NOISE``
+    groups, which all its tokens share and which are drawn by frequency."""
+    leaf_share, group_share = model.unigrams()
+    log_noise = np.log(np.maximum(np.concatenate([NOISE * leaf_share, GROUP_NOISE * group_share]), 1e-12)).astype(np.float32)
+    k, order = model.leaves, rng.permutation(len(w))
+    sig = lambda x: 1 / (1 + np.exp(np.clip(-x, -30, 30)))
     for s in range(0, len(w), BATCH):
         i = order[s : s + BATCH]
+        i = i[np.argsort(_small(w[i]), kind="stable")]
         t, u, v = w[i], one[i], two[i]
-        noise = np.minimum(np.searchsorted(draw, rng.random(NOISE) * draw[-1]), len(draw) - 1)
+        g = k + model.group(t)
+        noise = np.concatenate([_drawn(leaf_share, NOISE, rng), k + _drawn(group_share, GROUP_NOISE, rng)])
         ru, rv = p["r"][u], p["r"][v]
         h = ru @ p["c1"] + rv @ p["c2"]
-        qt, qn = p["q"][t], p["q"][noise]
-        sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        gt = 1 - sig((qt * h).sum(1) + p["b"][t] - log_noise[t])
+        qt, qg, qn = p["q"][t], p["q"][g], p["q"][noise]
+        gt = 1 - sig(np.einsum("ij,ij->i", qt, h) + p["b"][t] - log_noise[t])
+        gg = 1 - sig(np.einsum("ij,ij->i", qg, h) + p["b"][g] - log_noise[g])
         gn = -sig(h @ qn.T + p["b"][noise] - log_noise[noise])
-        dh = gt[:, None] * qt + gn @ qn
-        g = {k: np.zeros_like(x) for k, x in p.items()}
-        _add(g["q"], t, gt[:, None] * h)
-        np.add.at(g["q"], noise, gn.T @ h)
-        g["b"] += np.bincount(t, gt, len(g["b"])).astype(np.float32)
-        np.add.at(g["b"], noise, gn.sum(0))
-        g["c1"] += ru.T @ dh
-        g["c2"] += rv.T @ dh
-        _add(g["r"], u, dh @ p["c1"].T)
-        _add(g["r"], v, dh @ p["c2"].T)
-        for k, x in p.items():
-            step = g[k] / len(i)
-            adapt[k] += step * step
-            x += RATE * step / np.sqrt(adapt[k] + 1e-8)
+        dh = gt[:, None] * qt + gg[:, None] * qg + gn @ qn
+        # rows of q and b: leaves of tokens, groups of tokens, noise; a row may come in two of these
+        kt, st = _by_key(t, gt[:, None] * h)
+        kg, sg = _by_key(g, gg[:, None] * h)
+        _, bt = _by_key(t, gt)
+        _, bg = _by_key(g, gg)
+        keys = np.concatenate([kt, kg, noise])
+        rows = np.concatenate([st, sg, gn.T @ h])
+        bias = np.concatenate([bt, bg, gn.sum(0)])
+        sort = np.argsort(keys, kind="stable")
+        at, grad = _by_key(keys[sort], rows[sort])
+        _, grad_b = _by_key(keys[sort], bias[sort])
+        uv = np.concatenate([u, v])
+        sort = np.argsort(_small(uv), kind="stable")
+        ctx, grad_r = _by_key(uv[sort], np.concatenate([dh @ p["c1"].T, dh @ p["c2"].T])[sort])
+        n = len(i)
+        grad_1, grad_2 = ru.T @ dh, rv.T @ dh
+        _step(p, adapt, "q", at, grad / n)
+        _step(p, adapt, "b", at, grad_b / n)
+        _step(p, adapt, "r", ctx, grad_r / n)
+        _step(p, adapt, "c1", slice(None), grad_1 / n)
+        _step(p, adapt, "c2", slice(None), grad_2 / n)
 
 
 def _pack(p: dict[str, np.ndarray]) -> bytes:
-    return b"".join(p[k].astype("<f8").tobytes() for k in sorted(p))
+    return b"".join(p[k].astype("<f4").tobytes() for k in sorted(p))
 
 
-def _unpack(data: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    flat, out, at = np.frombuffer(data, "<f8"), {}, 0
+def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    out, at = {}, 0
     for k in sorted(like):
-        out[k] = flat[at : at + like[k].size].reshape(like[k].shape)
+        out[k] = flat[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
         at += like[k].size
     return out
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One model from many, each weighted by its tokens; one is held beside the sum."""
     total, weight = None, 0
     for batch in batches:
-        for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = np.frombuffer(data, "<f8")
+        for n, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            x = np.frombuffer(data.as_buffer(), "<f4").astype(np.float64) * n
             total, weight = x if total is None else total + x, weight + n
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["n", "params"])
+        yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([(total / weight).astype("<f4").tobytes()], pa.binary())], ["n", "params"])
+
+
+def _hashed_leaf(n: int) -> Column:
+    return F.pmod(F.shiftrightunsigned("hash", SHIFT), F.lit(n))
+
+
+def _shape(counts: DataFrame) -> Model:
+    """The tree, the sums of its leaves and the counts that are held; no parameters yet."""
+    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    words = counts.where(F.col("hash") != F.lit(int(END_HASH)))
+    frequent = max(LEAST, math.ceil(PER_ROOT * math.sqrt(v)))
+    best = words.orderBy(F.desc("c"), "hash").limit(frequent).collect()
+    ends = sum(r["c"] for r in counts.where(F.col("hash") == F.lit(int(END_HASH))).collect())
+    hashed, spread = 2 + len(best), frequent // 4
+    mass, kinds = np.zeros(hashed + spread), np.zeros(hashed + spread)
+    mass[END], kinds[END] = ends, bool(ends)
+    mass[2:hashed], kinds[2:hashed] = [r["c"] for r in best], 1
+    for leaf, c, k in words.groupBy(_hashed_leaf(spread)).agg(F.sum("c"), F.count("*")).collect():
+        mass[hashed + leaf], kinds[hashed + leaf] = c, k
+    own = np.array([r["hash"] for r in best], np.int64)
+    out = hashed + ((own.view(np.uint64) >> np.uint64(SHIFT)) % np.uint64(spread)).astype(np.int64)
+    np.subtract.at(mass, out, mass[2:hashed])
+    np.subtract.at(kinds, out, 1)
+    step = F.floor(F.log2("c") * 4)
+    left, least = HELD, None
+    for bucket, k in sorted(words.groupBy(step).count().collect(), reverse=True):
+        if k > left:
+            break
+        left, least = left - k, bucket
+    held = words.where(step >= (least if least is not None else 1 << 10)).select("hash", "c").toArrow()
+    keys = np.append(held.column("hash").to_numpy(), END_HASH)
+    order = np.argsort(keys)
+    seen = np.append(held.column("c").to_numpy(), ends)[order]
+    top = np.append(own, END_HASH)
+    sort = np.argsort(top)
+    return Model(top[sort], np.append(np.arange(2, hashed), END)[sort], mass, kinds, hashed, int(n), int(v), keys[order], seen, {})
 
 
 def fit(train: DataFrame) -> tuple[Model, DataFrame]:
@@ -195,66 +297,67 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     An empty training set leaves a model in which nothing is known (N = V = 0).
     """
     counts = stable(count_tokens(train))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    best = counts.where(F.col("hash") != F.lit(int(END_HASH))).orderBy(F.desc("c"), "hash").limit(CLASSES - 3).collect()
-    ends = sum(r["c"] for r in counts.where(F.col("hash") == F.lit(int(END_HASH))).collect())
-    mass = np.array([0, ends, n - ends - sum(r["c"] for r in best), *[r["c"] for r in best]], np.float64)
-    top = np.array([int(END_HASH), *[r["hash"] for r in best]], np.int64)
-    kind = np.array([END, *range(3, 3 + len(best))])
-    order = np.argsort(top)
-    unigram = (mass + 0.5) / (mass.sum() + 0.5 * len(mass))
-    model = Model(top[order], kind[order], start(unigram), int(n), int(v), int(mass[RARE]), int(v) - len(best) - bool(ends))
-    sent = train.sparkSession.sparkContext.broadcast((model, unigram))
+    model = _shape(counts)
+    model.params = start(model)
+    sent = train.sparkSession.sparkContext.broadcast(replace(model, held=model.held[:0], counts=model.counts[:0]))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, uni = sent.value
+        own = sent.value
         p = {k: x.copy() for k, x in own.params.items()}
         adapt = {k: np.full_like(x, 1e-6) for k, x in p.items()}
         rng, seen = np.random.default_rng(11), 0
         for batch in batches:
             for _, texts in runs(batch, 0):
                 h, sizes = hashes(texts)
-                w = own.classes(h)
-                learn(p, adapt, uni, w, *contexts(w, sizes), rng)
+                w = own.leaf(h)
+                learn(p, adapt, own, w, *contexts(w, sizes), rng)
                 seen += len(w)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack({k: x.astype(np.float64) * seen for k, x in p.items()})], pa.binary())], ["n", "params"])
-
-    if n:
-        parts = stable(train.select("text").mapInArrow(local, "n long, params binary"))
-        width = max(1, int(parts.rdd.getNumPartitions() ** 0.5))
-        sums = parts.repartition(width).mapInArrow(_summed, "n long, params binary").collect()
-        weight = sum(r["n"] for r in sums)
-        total = sum(np.frombuffer(r["params"], "<f8") for r in sums)
-        model.params = {k: x.astype(np.float32) for k, x in _unpack((total / weight).tobytes(), model.params).items()}
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(p)], pa.binary())], ["n", "params"])
+
+    if model.tokens:
+        schema = "n long, params binary"
+        parts = stable(train.select("text").mapInArrow(local, schema))
+        width = max(1, math.isqrt(parts.rdd.getNumPartitions()))
+        (_, data), = parts.coalesce(width).mapInArrow(_averaged, schema).repartition(1).mapInArrow(_averaged, schema).collect()
+        model.params = _unpack(np.frombuffer(data, "<f4"), model.params)
     return model, counts
 
 
 class Scorer:
-    """Normalised class log-probabilities, with a table of normalisers by context."""
+    """Normalised log-probabilities of leaves, by matrix products over whole levels."""
 
     def __init__(self, model: Model) -> None:
         p = model.params
-        self.model, k = model, len(p["b"])
+        self.model = model
         self.one, self.two = p["r"] @ p["c1"], p["r"] @ p["c2"]
-        self.q, self.b = p["q"], p["b"].copy()
-        self.b[BEGIN] = -np.inf  # never a target
-        self.norm = np.full((k, k), np.nan, np.float32)
+        self.q, self.b = p["q"], p["b"]
+
+    @staticmethod
+    def _level(h: np.ndarray, q: np.ndarray, b: np.ndarray, pick: np.ndarray) -> np.ndarray:
+        s = h @ q.T + b
+        got = s[np.arange(len(s)), pick]
+        top = s.max(axis=1)
+        s -= top[:, None]
+        return got - top - np.log(np.exp(s, out=s).sum(axis=1))
 
     def logs(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Natural log-probability of each class given its two predecessors."""
-        k = len(self.b)
-        need = np.unique((one * k + two)[np.isnan(self.norm[one, two])])
-        for at in range(0, len(need), 2048):
-            u, v = np.divmod(need[at : at + 2048], k)
-            s = (self.one[u] + self.two[v]) @ self.q.T + self.b
-            top = s.max(axis=1)
-            self.norm[u, v] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        """Natural log-probability of each leaf given its two predecessors."""
+        k, width = self.model.leaves, self.model.width
         out = np.empty(len(w), np.float64)
-        for at in range(0, len(w), 1 << 16):
-            i = slice(at, at + (1 << 16))
-            h = self.one[one[i]] + self.two[two[i]]
-            out[i] = np.einsum("ij,ij->i", h, self.q[w[i]]) + self.b[w[i]] - self.norm[one[i], two[i]]
+        for at in range(0, len(w), 1 << 15):
+            t = w[at : at + (1 << 15)]
+            order = np.argsort(_small(t), kind="stable")
+            t = t[order]
+            h = self.one[one[at : at + (1 << 15)][order]] + self.two[two[at : at + (1 << 15)][order]]
+            g = self.model.group(t)
+            found = self._level(h, self.q[k:], self.b[k:], g).astype(np.float64)
+            first = np.flatnonzero(np.diff(g, prepend=-1))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(g)]):
+                low = 1 + int(g[a]) * width
+                high = min(k, low + width)
+                found[a:b] += self._level(h[a:b], self.q[low:high], self.b[low:high], t[a:b] - low)
+            out[at + order] = found
         return out
 
 
@@ -262,82 +365,48 @@ def _sums(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(x, np.cumsum(sizes) - sizes)
 
 
-def _sorted(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and their counts, by way of Arrow: 16 bytes a word."""
-    got = counts.select("hash", "c").toArrow()
-    keys = got.column("hash").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], got.column("c").to_numpy()[order]
-
-
-SCHEMA = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-
-
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Null and empty texts are a lone end.  ``score`` is the log10 of a proper
-    distribution: a rarer word has the probability of the class of rare words times
-    its share there, ``(c + 1) / (rare tokens + rare types + 1)``.  The table of
-    counts is broadcast while it fits in ``BROADCAST_BYTES``; beyond, the rows are
-    numbered and written, and their tokens joined with it.  Ids may be null or repeated.
+    distribution: a word in a hashed leaf has the probability of the leaf times its share
+    there, ``(c + 1) / (tokens + words of the leaf + 1)``, the last one for all unseen.
+    The counts of the ``HELD`` most frequent words are broadcast; the other words of a
+    text are kept with its row, which is written, and joined with the table of counts, so
+    rarity decides the way, not the size of the corpus.  Ids may be null or repeated.
     """
-    spark = docs.sparkSession
-    small = model.types * WORD_BYTES <= BROADCAST_BYTES
-    sent = spark.sparkContext.broadcast((model, *(_sorted(counts) if small else (None, None))))
-    base_log = lambda c: np.log10((c + 1) / (model.tokens + model.types + 1))
-    rare_log = lambda c: np.log10((c + 1) / (model.rare_tokens + model.rare_types + 1))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, keys, c = sent.value
+        own = sent.value
         scorer = Scorer(own)
+        hidden = np.log10(own.mass + own.kinds + 1)
+        floor = np.log10(own.tokens + own.types + 1)
         for batch in batches:
-            for begin, texts in runs(batch, batch.num_columns - 1):
+            for begin, texts in runs(batch, 1):
                 h, sizes = hashes(texts)
                 unique, which = np.unique(h, return_inverse=True)
-                w_of = own.classes(unique)
-                seen = np.zeros(len(unique), np.int64)
-                if keys is not None and len(keys):
-                    at = np.minimum(np.searchsorted(keys, unique), len(keys) - 1)
-                    seen = np.where(keys[at] == unique, c[at], 0)
-                w = w_of[which]
+                leaf, c = own.leaf(unique), own.count(unique)
+                w = leaf[which]
                 logs = scorer.logs(w, *contexts(w, sizes)) / np.log(10)
-                if keys is not None:
-                    logs += np.where(w_of == RARE, rare_log(seen), 0.0)[which]
-                cols = [sizes, _sums((seen > 0).astype(np.int64)[which], sizes), _sums(base_log(seen)[which], sizes), _sums(logs, sizes)]
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([*[x.slice(begin, len(texts)) for x in batch.columns[:-1]], *[pa.array(x, t) for x, t in zip(cols, types)]], [f.split()[0] for f in schema.split(", ")])
+                logs += np.where(leaf >= own.hashed, np.log10(c + 1) - hidden[leaf], 0.0)[which]
+                asked = np.flatnonzero((c == 0)[which])
+                ends = np.concatenate([[0], np.cumsum(np.add.reduceat((c == 0)[which].astype(np.int64), np.cumsum(sizes) - sizes))])
+                cols = [pa.array(sizes, pa.int64()), pa.array(_sums((c > 0).astype(np.int64)[which], sizes), pa.int64()), pa.array(_sums((np.log10(c + 1) - floor)[which], sizes)), pa.array(_sums(logs, sizes))]
+                words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[asked], pa.int64()))
+                own_leaf = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(w[asked] >= own.hashed, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *cols, words, own_leaf], ["doc_id", "n_tokens", "known", "base", "own", "words", "shared"])
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = SCHEMA if small else f"row long, {SCHEMA}"
-    if not small:
-        keyed = stable(keyed.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
-    got = keyed.mapInArrow(run, schema)
-    if not small:
-        got = _joined(keyed, got, model, counts)
-    return got.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _joined(keyed: DataFrame, got: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """The part that needs the counts, by a join on the hash of the token."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, texts in runs(batch, 2):
-                h, sizes = hashes(texts)
-                ids = batch.column(0).slice(begin, len(texts)).to_numpy()
-                frame = pd.DataFrame({"row": np.repeat(ids, sizes), "hash": h}).value_counts(sort=False).reset_index(name="tf")
-                frame["rare"] = model.classes(frame["hash"].to_numpy()) == RARE
-                yield pa.RecordBatch.from_pandas(frame.astype({"tf": "int64"}), preserve_index=False)
-
-    tokens = keyed.mapInArrow(run, "row long, hash long, tf long, rare boolean")
-    c = F.coalesce("c", F.lit(0))
-    base = F.log10((c + 1) / F.lit(float(model.tokens + model.types + 1)))
-    rare = F.when(F.col("rare"), F.log10((c + 1) / F.lit(float(model.rare_tokens + model.rare_types + 1)))).otherwise(0.0)
-    sums = tokens.join(counts, "hash", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"), F.sum(F.col("tf") * base).alias("base"), F.sum(F.col("tf") * rare).alias("rest")
+    got = keyed.mapInArrow(run, "doc_id long, n_tokens long, known long, base double, own double, words array<long>, shared array<boolean>")
+    got = stable(got.withColumn("row", F.monotonically_increasing_id()))
+    asked = got.select("row", F.explode(F.arrays_zip("words", "shared")).alias("x")).select("row", F.col("x.words").alias("hash"), F.col("x.shared").alias("shared"))
+    log = F.log10(F.col("c") + 1)
+    found = asked.join(counts, "hash").groupBy("row").agg(F.count("*").alias("more"), F.sum(log).alias("base_more"), F.sum(F.when(F.col("shared"), log).otherwise(0.0)).alias("own_more"))
+    plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0)))
+    return got.join(found, "row", "left").select(
+        "doc_id", "n_tokens", plus("known", "more").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), plus("base", "base_more").alias("base_score"), plus("own", "own_more").alias("score")
     )
-    return got.join(sums, "row", "left").select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.col("base").alias("base_score"), (F.col("score") + F.col("rest")).alias("score"))
 
 
 def held_out(key: Column) -> Column:

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import string
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -265,46 +266,83 @@ def test_wrapper_aligns_whole_trees():
     assert wrapper.extract(pages[0], "/body/div.topline") == "Article 0 of the host"
 
 
-def test_language_model(spark):
-    texts = corpus(50) + EDGE
+def brute_scores(model, counts, texts):
+    """Each text's tokens, known tokens, base and score, one token at a time."""
+    p, out = model.params, []
+    k, width = model.leaves, model.width
+    softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        h = lm.hashes([t])[0]
+        base = own = 0.0
+        before = [lm.BEGIN, lm.BEGIN]
+        for word, code in zip([*words, None], h):
+            c = counts[word]
+            leaf = int(model.leaf(np.array([code]))[0])
+            v = p["r"][before[-1]].astype(float) @ p["c1"] + p["r"][before[-2]].astype(float) @ p["c2"]
+            group = (leaf - 1) // width
+            low, high = 1 + group * width, min(k, 1 + (group + 1) * width)
+            own += softmax(p["q"][k:] @ v + p["b"][k:])[group] / np.log(10) + softmax(p["q"][low:high] @ v + p["b"][low:high])[leaf - low] / np.log(10)
+            if leaf >= model.hashed:
+                own += np.log10((c + 1) / (model.mass[leaf] + model.kinds[leaf] + 1))
+            base += np.log10((c + 1) / (model.tokens + model.types + 1))
+            before.append(leaf)
+        out.append((len(words) + 1, sum(counts[x] > 0 for x in [*words, None]), base, own))
+    return out
+
+
+@pytest.mark.parametrize("held", [1 << 18, 20, 0])
+def test_language_model(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "LEAST", 40)
+    monkeypatch.setattr(lm, "PER_ROOT", 1)
+    monkeypatch.setattr(lm, "HELD", held)
+    texts = corpus(50) + EDGE + ["never seen words"]
     table = docs(spark, texts)
-    train = table.where("doc_id % 5 <> 2")
-    model, counts = lm.fit(train)
+    model, counts = lm.fit(table.where("doc_id % 5 <> 2"))
+    train = [t for i, t in enumerate(texts) if i % 5 != 2]
+    c = Counter(w for t in train for w in [*(t or "").encode().lower().split(), None])
+    assert (model.tokens, model.types) == (sum(c.values()), len(c)) and len(model.held) <= held + 1
+    assert model.mass.sum() == model.tokens and model.kinds.sum() == model.types
     got = {r.doc_id: r for r in lm.score(table, model, counts).collect()}
-    from collections import Counter
-
-    tokens = lambda t: [*(t or "").encode().lower().split(), None]
-    c = Counter(w for i, t in enumerate(texts) if i % 5 != 2 for w in tokens(t))
-    n, v = sum(c.values()), len(c)
-    for i, t in enumerate(texts):
-        w = tokens(t)
-        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
-        assert got[i].base_score == pytest.approx(sum(np.log10((c[x] + 1) / (n + v + 1)) for x in w)) and got[i].score < 0
+    assert len(got) == len(texts)
+    for i, want in enumerate(brute_scores(model, c, texts)):
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (*want[:2], model.tokens)
+        assert got[i].base_score == pytest.approx(want[2]) and got[i].score == pytest.approx(want[3], rel=1e-4)
     scorer = lm.Scorer(model)
-    k = len(model.params["b"])
-    total = np.exp(scorer.logs(np.arange(1, k), np.full(k - 1, 3), np.full(k - 1, lm.BEGIN))).sum()
-    assert total == pytest.approx(1, abs=1e-3)
-    whole = lm.BROADCAST_BYTES
-    try:
-        lm.BROADCAST_BYTES = 0  # the joined way gives the same
-        joined = {r.doc_id: r for r in lm.score(table, model, counts).collect()}
-    finally:
-        lm.BROADCAST_BYTES = whole
-    assert all(joined[i].n_known == r.n_known and joined[i].base_score == pytest.approx(r.base_score) and joined[i].score == pytest.approx(r.score) for i, r in got.items())
-    empty, none = lm.fit(train.limit(0))
+    n = model.leaves - 1
+    for one, two in ((3, lm.BEGIN), (model.hashed, 5)):
+        assert np.exp(scorer.logs(np.arange(1, n + 1), np.full(n, one), np.full(n, two))).sum() == pytest.approx(1, abs=1e-3)
+    empty, none = lm.fit(table.limit(0))
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in lm.score(table, empty, none).collect())
 
 
-def test_language_model_joined_with_null_and_repeated_ids(spark, monkeypatch):
+def test_language_model_grows_and_learns(spark):
+    rng = random.Random(6)
+    follow = {w: rng.sample([f"w{i}" for i in range(1200)], 3) for w in [f"w{i}" for i in range(1200)]}
+    texts = []
+    for _ in range(500):
+        now, words = f"w{rng.randrange(1200)}", []
+        for _ in range(120):
+            words.append(now)
+            now = rng.choice(follow[now])
+        texts.append(" ".join(words) + f" only{rng.random()}")
+    small, _ = lm.fit(docs(spark, corpus(20)))
+    model, counts = lm.fit(docs(spark, texts[:400]))
+    assert model.leaves > small.leaves and model.hashed > 1000 and (model.mass[model.hashed :] > 0).any()
+    got = lm.score(docs(spark, texts[400:]), model, counts).selectExpr("sum(score) / sum(n_tokens) as own", "sum(base_score) / sum(n_tokens) as base").first()
+    assert got.own > got.base + 0.2
+
+
+def test_language_model_with_null_and_repeated_ids(spark, monkeypatch):
     texts = corpus(30) + EDGE
     table = spark.createDataFrame([((None, 7, i)[i % 3], t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     model, counts = lm.fit(table)
-    rows = lambda: sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 4)) for r in lm.score(table, model, counts).collect())
-    plain = rows()
-    monkeypatch.setattr(lm, "BROADCAST_BYTES", 0)
-    joined = rows()
-    assert len(joined) == len(texts) and [r[:4] for r in joined] == [r[:4] for r in plain]
-    assert np.allclose([r[4:] for r in joined], [r[4:] for r in plain], atol=1e-3)
+    monkeypatch.setattr(lm, "HELD", 10)
+    few, same = lm.fit(table)
+    c = Counter(w for t in texts for w in [*(t or "").encode().lower().split(), None])
+    rows = lambda m: sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in lm.score(table, m, same).collect())
+    want = sorted((d is None, d or 0, n, k, round(float(b), 6)) for d, (n, k, b, _) in zip(((None, 7, i)[i % 3] for i in range(len(texts))), brute_scores(model, c, texts)))
+    assert rows(model) == rows(few) == want
 
 
 def test_secrets(spark):
