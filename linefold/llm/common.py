@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -20,14 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    A folder of our own is set only where the session has none, as in tests.
+    A folder of our own is set only where the session has none and runs in this process
+    alone, as in tests; a cluster without one is an error.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linefold-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="linefold-"))
     return sc.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate results, wherever Spark can write one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Cut the lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

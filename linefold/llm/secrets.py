@@ -35,6 +35,8 @@ TOTAL, PER_CHARACTER = 10.0, 0.5
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: The token characters lie between these code points.
 _LOW, _SPAN = 43, 80
+#: Names of columns that :func:`scan` makes on its way.
+_OWN = ("_text", "_assign", "_access", "_hex", "_known", "_odd")
 _MATCH = "array<struct<begin:int,end:int,match:string>>"
 
 
@@ -176,6 +178,8 @@ def scan(docs: DataFrame, ratios: dict[str, float] | None = None) -> DataFrame:
     end exclusive.  A ``markov`` span never overlaps a fixed one.
     """
     table = _table(fit(docs) if ratios is None else ratios)
+    given = {c: f"_given{c}" for c in _OWN if c in docs.columns}
+    docs = docs.withColumnsRenamed(given)
     text = F.col("_text")
     tokens = F.when(text.rlike(TOKEN), _found(text, TOKEN)).otherwise(_none())
     random = lambda x: (lambda r: (r > TOTAL) & (r > PER_CHARACTER * (x["end"] - x["begin"])))(_ratio(x["match"], table))
@@ -183,7 +187,7 @@ def scan(docs: DataFrame, ratios: dict[str, float] | None = None) -> DataFrame:
     markov = _apart(F.col("_odd"), F.col("_known"), text)
     named = [_tagged(c, i, k) for i, (k, c) in enumerate(zip(KINDS, (F.col("_assign"), F.col("_access"), F.col("_hex"), markov)))]
     by = lambda a: F.transform(F.array_sort(F.transform(a, lambda x: F.struct(x["begin"].alias("begin"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))), lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), x["rank"].alias("rank"), x["kind"].alias("kind")))
-    return based.withColumn("spans", by(F.concat(*named))).drop("_text", "_assign", "_access", "_hex", "_known", "_odd")
+    return based.withColumn("spans", by(F.concat(*named))).drop(*_OWN).withColumnsRenamed({v: k for k, v in given.items()})
 
 
 def joined(spans: Column) -> Column:
