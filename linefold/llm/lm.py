@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, stable, table
+from .common import crc_fold, stable, table, word_hashes
 
 #: Leaves: 0 begin (context only), 1 end, then frequent words, then hashed leaves.  There
 #: are ``max(LEAST, PER_ROOT * sqrt(V))`` frequent words and a quarter as many hashed leaves.
@@ -35,13 +35,6 @@ WIDTH, NOISE, GROUP_NOISE, BATCH, RATE = 32, 40, 16, 4096, 0.15
 HELD = 1 << 18
 #: Texts are taken in runs of about so many bytes.
 RUN_BYTES = 4 << 20
-_rng = np.random.default_rng(20240607)
-_MIX = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_POWER: list[np.ndarray] = [np.ones(1, np.uint64)]
 #: The hash of the end token; no word has an even hash.
 END_HASH = np.int64(0)
 #: The hashed leaf of a word comes from the bits of its hash above so many.
@@ -52,26 +45,17 @@ def hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all tokens of all texts, an end after each text's words, and the
     number of tokens of each text."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    c = _FOLD[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
-    inside = ~_BLANK[c]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    c = np.frombuffer(b"\n".join(raw).lower() + b"\n", np.uint8)
+    blank = (c - np.uint8(9) < 5) | (c == 32)
+    first = ~blank
+    first[1:] &= blank[:-1]
     begin = np.flatnonzero(first)
-    ends = np.cumsum([len(r) + 1 for r in raw])
-    words = np.diff(np.searchsorted(begin, ends), prepend=0)
-    h = np.zeros(0, np.int64)
-    if len(begin):
-        c = c[inside]
-        starts = np.flatnonzero(first[inside])
-        size = np.diff(starts, append=len(c))
-        while len(_POWER[0]) < size.max():
-            _POWER[0] = np.concatenate([_POWER[0], _POWER[0] * (_POWER[0][-1:] * np.uint64(0x9E3779B97F4A7C15))])
-        x = np.add.reduceat(_MIX[c] * _POWER[0][np.arange(len(c)) - np.repeat(starts, size)], starts)
-        x ^= x >> np.uint64(32)
-        h = (x * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)).view(np.int64)
+    words = np.diff(np.searchsorted(begin, np.cumsum([len(r) + 1 for r in raw])), prepend=0)
+    x = word_hashes(c, begin)
+    x ^= x >> np.uint64(32)
+    h = (x * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)).view(np.int64)
     out = np.full(len(h) + len(texts), END_HASH)
-    at = np.arange(len(h)) + np.repeat(np.arange(len(texts)), words)
-    out[at] = h
+    out[np.arange(len(h)) + np.repeat(np.arange(len(texts)), words)] = h
     return out, words + 1
 
 
@@ -111,7 +95,7 @@ class Model:
     types: int  # V
     held: np.ndarray  # sorted hashes of the words whose counts are held
     counts: np.ndarray
-    params: dict[str, np.ndarray]  # q and b: leaves, then groups
+    params: dict[str, np.ndarray]  # q: leaves, then groups; the last column is the bias
 
     @property
     def leaves(self) -> int:
@@ -162,15 +146,27 @@ def contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 def start(model: Model) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(7)
     near = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
-    eye = np.eye(WIDTH, dtype=np.float32)
+    eye = np.eye(WIDTH, WIDTH - 1, dtype=np.float32)
     shares = np.concatenate(model.unigrams())
-    return {"r": near(model.leaves, WIDTH), "q": near(len(shares), WIDTH), "c1": eye * 0.7, "c2": eye * 0.3, "b": np.log(np.maximum(shares, 1e-12)).astype(np.float32)}
+    q = near(len(shares), WIDTH)
+    q[:, -1] = np.log(np.maximum(shares, 1e-12))
+    return {"r": near(model.leaves, WIDTH), "q": q, "c1": eye * 0.7, "c2": eye * 0.3}
 
 
 def _step(p: dict[str, np.ndarray], adapt: dict[str, np.ndarray], name: str, at, grad: np.ndarray) -> None:
     """An AdaGrad step on some rows, which must differ."""
-    adapt[name][at] += grad * grad
-    p[name][at] += RATE * grad / np.sqrt(adapt[name][at] + 1e-8)
+    total = adapt[name][at] + grad * grad
+    adapt[name][at] = total
+    p[name][at] += RATE * grad / np.sqrt(total + 1e-8)
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.clip(x, -30, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _drawn(shares: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
@@ -195,41 +191,37 @@ def learn(p: dict[str, np.ndarray], adapt: dict[str, np.ndarray], model: Model,
     leaf_share, group_share = model.unigrams()
     log_noise = np.log(np.maximum(np.concatenate([NOISE * leaf_share, GROUP_NOISE * group_share]), 1e-12)).astype(np.float32)
     k, order = model.leaves, rng.permutation(len(w))
-    sig = lambda x: 1 / (1 + np.exp(np.clip(-x, -30, 30)))
     for s in range(0, len(w), BATCH):
         i = order[s : s + BATCH]
         i = i[np.argsort(_small(w[i]), kind="stable")]
-        t, u, v = w[i], one[i], two[i]
+        n, t, u, v = len(i), w[i], one[i], two[i]
         g = k + model.group(t)
-        noise = np.concatenate([_drawn(leaf_share, NOISE, rng), k + _drawn(group_share, GROUP_NOISE, rng)])
-        ru, rv = p["r"][u], p["r"][v]
-        h = ru @ p["c1"] + rv @ p["c2"]
-        qt, qg, qn = p["q"][t], p["q"][g], p["q"][noise]
-        gt = 1 - sig(np.einsum("ij,ij->i", qt, h) + p["b"][t] - log_noise[t])
-        gg = 1 - sig(np.einsum("ij,ij->i", qg, h) + p["b"][g] - log_noise[g])
-        gn = -sig(h @ qn.T + p["b"][noise] - log_noise[noise])
-        dh = gt[:, None] * qt + gg[:, None] * qg + gn @ qn
-        # rows of q and b: leaves of tokens, groups of tokens, noise; a row may come in two of these
-        kt, st = _by_key(t, gt[:, None] * h)
-        kg, sg = _by_key(g, gg[:, None] * h)
-        _, bt = _by_key(t, gt)
-        _, bg = _by_key(g, gg)
-        keys = np.concatenate([kt, kg, noise])
-        rows = np.concatenate([st, sg, gn.T @ h])
-        bias = np.concatenate([bt, bg, gn.sum(0)])
-        sort = np.argsort(keys, kind="stable")
-        at, grad = _by_key(keys[sort], rows[sort])
-        _, grad_b = _by_key(keys[sort], bias[sort])
-        uv = np.concatenate([u, v])
-        sort = np.argsort(_small(uv), kind="stable")
-        ctx, grad_r = _by_key(uv[sort], np.concatenate([dh @ p["c1"].T, dh @ p["c2"].T])[sort])
-        n = len(i)
-        grad_1, grad_2 = ru.T @ dh, rv.T @ dh
-        _step(p, adapt, "q", at, grad / n)
-        _step(p, adapt, "b", at, grad_b / n)
-        _step(p, adapt, "r", ctx, grad_r / n)
-        _step(p, adapt, "c1", slice(None), grad_1 / n)
-        _step(p, adapt, "c2", slice(None), grad_2 / n)
+        noise = np.sort(np.concatenate([_drawn(leaf_share, NOISE, rng), k + _drawn(group_share, GROUP_NOISE, rng)]))
+        h = np.ones((n, WIDTH), np.float32)  # a last one for the bias
+        h[:, :-1] = p["r"].take(u, axis=0) @ p["c1"] + p["r"].take(v, axis=0) @ p["c2"]
+        qt, qg, qn = p["q"].take(t, axis=0), p["q"].take(g, axis=0), p["q"][noise]
+        gt = 1 - _logistic(np.einsum("ij,ij->i", qt, h) - log_noise[t])
+        gg = 1 - _logistic(np.einsum("ij,ij->i", qg, h) - log_noise[g])
+        gn = h @ qn.T
+        gn -= log_noise[noise]
+        gn = np.negative(_logistic(gn), out=gn)
+        qt *= gt[:, None]
+        qg *= gg[:, None]
+        dh = gn @ qn
+        dh += qt
+        dh += qg
+        dh /= n
+        h /= n
+        for at, weight in ((t, gt), (g, gg)):
+            _step(p, adapt, "q", *_by_key(at, np.multiply(h, weight[:, None], out=qt)))
+        _step(p, adapt, "q", *_by_key(noise, gn.T @ h))
+        for at, name in ((u, "c1"), (v, "c2")):
+            sort = np.argsort(_small(at), kind="stable")
+            rows, sums = _by_key(at[sort], dh.take(sort, axis=0))
+            sums = sums[:, :-1]
+            held = p["r"][rows]
+            _step(p, adapt, "r", rows, sums @ p[name].T)
+            _step(p, adapt, name, slice(None), held.T @ sums)
 
 
 def _pack(p: dict[str, np.ndarray]) -> bytes:
@@ -329,17 +321,20 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         p = model.params
-        self.model = model
-        self.one, self.two = p["r"] @ p["c1"], p["r"] @ p["c2"]
-        self.q, self.b = p["q"], p["b"]
-
-    @staticmethod
-    def _level(h: np.ndarray, q: np.ndarray, b: np.ndarray, pick: np.ndarray) -> np.ndarray:
-        s = h @ q.T + b
+        self.model, self.q = model, p["q"]
+        self.one, self.two = ((np.concatenate([p["r"] @ p[c], np.full((model.leaves, 1), 0.5, np.float32)], axis=1)) for c in ("c1", "c2"))
+        far = lambda x: float(np.linalg.norm(x, axis=1).max())
+        #: Whether no score can be too large for exp().
+        self.tame = (far(self.one) + far(self.two)) * far(self.q) < 80
+
+    def _level(self, h: np.ndarray, q: np.ndarray, pick: np.ndarray) -> np.ndarray:
+        s = h @ q.T
         got = s[np.arange(len(s)), pick]
-        top = s.max(axis=1)
-        s -= top[:, None]
-        return got - top - np.log(np.exp(s, out=s).sum(axis=1))
+        if not self.tame:
+            top = s.max(axis=1)
+            s -= top[:, None]
+            got = got - top
+        return got - np.log(np.exp(s, out=s) @ np.ones(s.shape[1], np.float32))
 
     def logs(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log-probability of each leaf given its two predecessors."""
@@ -349,14 +344,15 @@ class Scorer:
             t = w[at : at + (1 << 15)]
             order = np.argsort(_small(t), kind="stable")
             t = t[order]
-            h = self.one[one[at : at + (1 << 15)][order]] + self.two[two[at : at + (1 << 15)][order]]
+            h = self.one.take(one[at : at + (1 << 15)][order], axis=0)
+            h += self.two.take(two[at : at + (1 << 15)][order], axis=0)
             g = self.model.group(t)
-            found = self._level(h, self.q[k:], self.b[k:], g).astype(np.float64)
+            found = self._level(h, self.q[k:], g).astype(np.float64)
             first = np.flatnonzero(np.diff(g, prepend=-1))
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(g)]):
                 low = 1 + int(g[a]) * width
                 high = min(k, low + width)
-                found[a:b] += self._level(h[a:b], self.q[low:high], self.b[low:high], t[a:b] - low)
+                found[a:b] += self._level(h[a:b], self.q[low:high], t[a:b] - low)
             out[at + order] = found
         return out
 

@@ -279,10 +279,10 @@ def brute_scores(model, counts, texts):
         for word, code in zip([*words, None], h):
             c = counts[word]
             leaf = int(model.leaf(np.array([code]))[0])
-            v = p["r"][before[-1]].astype(float) @ p["c1"] + p["r"][before[-2]].astype(float) @ p["c2"]
+            v = np.append(p["r"][before[-1]].astype(float) @ p["c1"] + p["r"][before[-2]].astype(float) @ p["c2"], 1.0)
             group = (leaf - 1) // width
             low, high = 1 + group * width, min(k, 1 + (group + 1) * width)
-            own += softmax(p["q"][k:] @ v + p["b"][k:])[group] / np.log(10) + softmax(p["q"][low:high] @ v + p["b"][low:high])[leaf - low] / np.log(10)
+            own += softmax(p["q"][k:] @ v)[group] / np.log(10) + softmax(p["q"][low:high] @ v)[leaf - low] / np.log(10)
             if leaf >= model.hashed:
                 own += np.log10((c + 1) / (model.mass[leaf] + model.kinds[leaf] + 1))
             base += np.log10((c + 1) / (model.tokens + model.types + 1))
