@@ -204,26 +204,23 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Documents that are not contaminated, with all columns.  Decided row by row, so
-    ids may be null or repeated."""
+    """Documents in which no window of the benchmark occurs, with all columns.
+
+    One window is enough to drop a document, however long it is.  Decided row by row,
+    so ids may be null or repeated; documents without words stay.
+    """
     blocks = _blocks(benchmark, block_words)
     if len(blocks) > 1:
         numbered = _numbered(docs)
-        hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
-        bad = _passes(numbered, blocks).where((hit > 0) & (20 * hit >= F.col("n_words"))).select(ROW)
+        bad = _passes(numbered, blocks).where(F.size("hits") > 0).select(ROW)
         return numbered.join(measured(stable(bad), 32), ROW, "left_anti").select(*docs.columns)
     made = _windows(docs.sparkSession, blocks[0]())
     at = docs.columns.index("text")
 
-    def clean(text: str | None, own: Windows) -> bool:
-        n, runs, _ = own.scan(text)
-        hit = sum(b - a + 1 for a, b in runs)
-        return not hit or 20 * hit < n
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = made()
         for batch in batches:
-            yield batch.filter(pa.array([clean(t, own) for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([not own.scan(t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
