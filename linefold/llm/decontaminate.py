@@ -13,11 +13,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, measured, stable, table
+from .common import map_arrow, measured, stable, table, word_hashes
 
 WINDOW = 13
 #: Benchmark words that one automaton takes, with at most ``WINDOW`` nodes each (about
@@ -25,6 +26,8 @@ WINDOW = 13
 BLOCK_WORDS = 150_000
 #: Windows of an item that stay together; a longer item is cut into overlapping pieces.
 PIECE = 2_000
+#: Texts are looked through in runs of about so many bytes.
+RUN_BYTES = 1 << 20
 #: A word in text whose A-Z are not lower-cased yet.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Every ASCII byte that is not in a word becomes a space; A-Z become a-z.
@@ -60,6 +63,34 @@ class Windows:
                 self.owners[at].add(item)
         if self.owners:
             self.automaton.make_automaton()
+        self.least = min(self.lengths, default=0)
+        line = np.frombuffer(b" ".join(self.numbers), np.uint8)
+        self.known = np.zeros(1 << 22, bool)
+        self.known[self._cells(line, np.cumsum([0, *(len(w) + 1 for w in self.numbers)])[:-1])] = True
+
+    @staticmethod
+    def _cells(c: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        h = word_hashes(c, begin)
+        return ((h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(42)).astype(np.int64)
+
+    def look(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and whether a text has a run of words of the benchmark as long
+        as the shortest window; only such a text can hold one."""
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        c = np.frombuffer(b" ".join(raw).translate(_FOLD) + b" ", np.uint8)
+        first = c != 32
+        first[1:] &= c[:-1] == 32
+        begin = np.flatnonzero(first)
+        last = np.searchsorted(begin, np.cumsum([len(r) + 1 for r in raw]))
+        n = np.diff(last, prepend=0)
+        held = np.zeros(len(texts), bool)
+        if len(begin) and self.owners:
+            at = np.arange(len(begin))
+            stop = np.where(self.known[self._cells(c, begin)], -1, at)
+            run = at - np.maximum(np.maximum.accumulate(stop), np.repeat(last - n, n) - 1)
+            some = np.flatnonzero(n)
+            held[some] = np.maximum.reduceat(run, (last - n)[some]) >= self.least
+        return n, held
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[int]]:
         """Number of words; merged runs (first, last) of hit words; items found."""
@@ -86,6 +117,21 @@ def original(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(at[a][0], at[b][1]) for a, b in runs]
 
 
+def _looked(own: Windows, column: pa.Array) -> Iterator[tuple[str | None, int, bool]]:
+    """(text, number of words, whether it must be scanned), a run of texts at a time."""
+    size, texts = 0, []
+    for t in column.to_pylist():
+        texts.append(t)
+        size += len(t or "")
+        if size >= RUN_BYTES:
+            n, held = own.look(texts)
+            yield from zip(texts, n.tolist(), held.tolist())
+            size, texts = 0, []
+    if texts:
+        n, held = own.look(texts)
+        yield from zip(texts, n.tolist(), held.tolist())
+
+
 Load = Callable[[], list[tuple[int, list[bytes]]]]
 
 
@@ -114,8 +160,8 @@ def _pass(docs: DataFrame, pieces: list[tuple[int, list[bytes]]]) -> DataFrame:
         own = made()
         for batch in batches:
             cols: list[list] = [[], [], [], []]
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                n, runs, found = own.scan(text)
+            for text, n, held in _looked(own, batch.column(batch.num_columns - 1)):
+                runs, found = own.scan(text)[1:] if held else ([], ())
                 spans = original(text, runs) if runs else []
                 for c, v in zip(cols, (n, [{"first": a, "last": b} for a, b in runs], [{"begin": a, "end": b} for a, b in spans], sorted(found))):
                     c.append(v)
@@ -220,7 +266,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = made()
         for batch in batches:
-            yield batch.filter(pa.array([not own.scan(t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([not (held and own.scan(t)[1]) for t, _, held in _looked(own, batch.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
