@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dialect import Duck, Spark
 from .operators import queries as pixels
-from .plans import coverage, images, lines, loader, rules
+from .plans import coverage, gates, images, lines, loader, rules
 from .sources import queries as through_files
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -17,7 +17,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 #: rows are dealt to all cores before the line rules.  Larger scans are never shuffled.
 SPREAD_BYTES = 256 << 20
 
-PLANS = {**lines.PLANS, **images.PLANS, **rules.PLANS, **coverage.PLANS, **loader.PLANS}
+PLANS = {**lines.PLANS, **images.PLANS, **rules.PLANS, **coverage.PLANS, **gates.PLANS, **loader.PLANS}
 
 
 def tables_of(sql: str) -> list[str]:

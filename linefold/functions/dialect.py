@@ -48,13 +48,22 @@ class Spark:
     @staticmethod
     def running(source: str, group: str, order: str) -> str:
         """Adds ``k``, the row's number within its group, counted over blocks of
-        4,096 documents: a group of a third of all rows is not sorted in one task.
-        Both sides read whole rows (``mark``), so that they share one shuffle and the
-        source is evaluated once."""
-        r = f"with r as (select *, row_number() over (partition by {group}, block order by {order}) as rn from (select *, cast(doc_id div 4096 as bigint) as block from ({source})))"
-        return f"""{r}, c as (select {group} as grp, block as b, max(rn) as m, max(mark) as seen from (select *, hash(*) as mark from r) group by 1, 2),
-          o as (select grp, b, sum(m) over (partition by grp order by b) - m as before from c where seen is not null)
-          select r.*, before + rn as k from r join o on r.{group} <=> o.grp and r.block <=> o.b"""
+        4,096 documents: a group of a third of all rows is not sorted in one task."""
+        return Spark._counted(f"select *, cast(doc_id div 4096 as bigint) as block from ({source})", group, order)
+
+    @staticmethod
+    def _counted(source: str, group: str, order: str) -> str:
+        """Adds ``k`` and the group's size ``n`` to rows with a ``block``, which follows
+        ``order`` within the group.
+
+        Both sides of the join need the whole rows (``mark`` is a hash of all columns and
+        never exceeds the block's greatest), whatever columns are asked for later: so they
+        share one shuffle, and so does a plan that mentions the result twice.
+        """
+        r = f"with r as (select *, hash(*) as mark from (select *, row_number() over (partition by {group}, block order by {order}) as rn from ({source})))"
+        return f"""{r}, c as (select {group} as grp, block as b, max(rn) as m, max(mark) as seen from r group by 1, 2),
+          o as (select grp, b, sum(m) over (partition by grp order by b) - m as before, sum(m) over (partition by grp) as n, seen from c)
+          select r.*, n, before + rn as k from r join o on r.{group} <=> o.grp and r.block <=> o.b and r.mark <= o.seen"""
 
     @staticmethod
     def rows(source: str, names: str, values: list[tuple], keep: str = "") -> str:
@@ -73,10 +82,8 @@ class Spark:
         """Adds ``k``, the row's place by a digest of its key within its group, and the
         group's size ``n``.  Ranks are counted over 4,096 ranges of the digest, so a
         group of any size is sorted in as many tasks."""
-        r = f"with r as (select *, md5(concat('{seed}|', {key})) as hash, substr(md5(concat('{seed}|', {key})), 1, 3) as block from ({source}))"
-        return f"""{r}, c as (select {group} as grp, block as b, count(*) as m from r group by 1, 2),
-          o as (select grp, b, sum(m) over (partition by grp order by b) - m as before, sum(m) over (partition by grp) as n from c)
-          select r.*, n, before + row_number() over (partition by {group}, block order by hash, {key}) as k from r join o on r.{group} <=> o.grp and r.block = o.b"""
+        hashed = f"select *, md5(concat('{seed}|', {key})) as hash, substr(md5(concat('{seed}|', {key})), 1, 3) as block from ({source})"
+        return Spark._counted(hashed, group, f"hash, {key}")
 
     @staticmethod
     def hex_part(x: str, at: int) -> str:
@@ -149,14 +156,14 @@ class Spark:
         return f"select line_id, {back} as back from (select line_id, v, {ids} as ids from (select line_id, t, {cls._alphabet(charset)} as v from ({lines})))"
 
     @staticmethod
-    def pieces(src: str, dst: str, lower: bool) -> str:
+    def pieces(src: str, dst: str, lower: bool, blank: str) -> str:
         if lower:
             src, dst = src[:26].upper() + src, dst[:26] + dst
         return rf"""select doc_id, source, lang, line_no, piece_no, t
           from (select /*spread*/ doc_id, source, lang, text from documents where text is not null)
           lateral view posexplode(split(text, '\n')) as line_no, line
           lateral view posexplode(split(line, r'\. ')) as piece_no, piece
-          lateral view explode(array(trim(regexp_replace(translate(piece, '{src}', '{dst}'), r'\s+', ' ')))) as t"""
+          lateral view explode(array(trim(regexp_replace(translate(piece, '{src}', '{dst}'), r'[{blank}]+', ' ')))) as t"""
 
 
 class Duck(Spark):
@@ -259,9 +266,9 @@ class Duck(Spark):
         return f"with l as ({lines}), v as ({charset}), c as ({cls.chars('l', 'line_id')}) select c.line_id, {cls.joined('v.ch', 'c.pos', '')} as back from c join v on c.ch = v.ch group by c.line_id"
 
     @staticmethod
-    def pieces(src: str, dst: str, lower: bool) -> str:
+    def pieces(src: str, dst: str, lower: bool, blank: str) -> str:
         fold = "translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')" if lower else "piece"
-        return rf"""select doc_id, source, lang, line_no, piece_no, trim(regexp_replace(translate({fold}, '{src}', '{dst}'), '\s+', ' ', 'g')) as t
+        return rf"""select doc_id, source, lang, line_no, piece_no, trim(regexp_replace(translate({fold}, '{src}', '{dst}'), '[{blank}]+', ' ', 'g')) as t
           from (select doc_id, source, lang, line_no, j - 1 as piece_no, ps[j] as piece
             from (select *, unnest(range(1, len(ps) + 1)) as j
               from (select doc_id, source, lang, i - 1 as line_no, string_split(ls[i], '. ') as ps

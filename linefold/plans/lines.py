@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 # Transliteration of the fixture, digits, symbol and keyword lists.
 SRC = "abcdefghijklmnopqrstuvwxyz."
 DST = "ाबचदेफगहिजकलमनोपखरसतुव्षयं।"
@@ -11,13 +13,45 @@ DATES = ["वि. सं", "वि.सं.", "साल", "संवत्", "
 DIGITS = "०१२३४५६७८९"
 MATRAS = ["ा", "ि", "ी", "ु", "ू", "ृ", "े", "ै", "ो", "ौ", "ं", "ँ"]
 PUNCTUATION = r"[?!,()\[\]{}\x22;:।॥-]"
+# Characters that count as symbols in the first and in the second cascade,
+# and symbols that no label may have.
+SYMBOLS = r":.-=_*#@%/\|"
+LABEL_SYMBOLS = r""":.-=_*#@%/\|()[]{}<>+`'"$;?,!^&~€£¥“”‘’"""
+BAD_SYMBOLS = "_|&%€$£₹«»[]"
+# White space of Unicode text.
+BLANK = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 REQUIRED = ["।", "॥", "्", *DIGITS]
 DOMAINS = {"en": 3, "fr": 2, "de": 1, "es": 0}
 KEY = "doc_id, line_no, piece_no"
 
 
+def within(characters: str) -> str:
+    """The characters as the inside of a class, in SQL text of either engine."""
+    return "".join(r"\x27" if c == "'" else "\\" + c if c in r"\[]^-" else c for c in characters)
+
+
+def _digits() -> str:
+    """Every code point that counts as a digit in Unicode text, superscripts too, as ranges."""
+    held: list[list[int]] = []
+    for c in filter(lambda c: chr(c).isdigit(), range(128, sys.maxunicode + 1)):
+        if held and held[-1][1] == c - 1:
+            held[-1][1] = c
+        else:
+            held.append([c, c])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in held)
+
+
+OTHER_DIGITS = _digits()
+
+
+def digit(d, t: str = "t") -> str:
+    """Whether a text has a digit of any script; the long class is asked only of texts
+    beyond ASCII and Devanagari."""
+    return f"({d.like(t, f'[0-9{DIGITS[0]}-{DIGITS[-1]}]')} or ({d.like(t, r'[^\x00-\x7fऀ-ॿ]')} and {d.like(t, f'[{OTHER_DIGITS}]')}))"
+
+
 def lines(d, lower: bool = True) -> str:
-    return d.pieces(SRC, DST, lower)
+    return d.pieces(SRC, DST, lower, BLANK)
 
 
 def any_of(t: str, words: list[str]) -> str:
@@ -33,8 +67,8 @@ def counted(d, source: str) -> str:
         n_letters=d.count_of("t", "ऀ-ॣ॰-ॿ"),
         n_latin=d.count_of("t", "a-zA-Z"),
         n_digits=d.count_of("t", "0-9"),
-        n_symbols=d.count_of("t", r":.=_*#@%/|\\-"),
-        n_label_symbols=d.count_of("t", r':.=_*#@%/|\\()<>+`$;?,!^&~€£₹{}"“”‘’\[\]-'),
+        n_symbols=d.count_of("t", within(SYMBOLS)),
+        n_label_symbols=d.count_of("t", within(LABEL_SYMBOLS)),
     )
 
 
@@ -62,7 +96,7 @@ def label_rules(d, source: str = "") -> str:
     )
     junk = " ".join(f"when contains(t, '{w}') then 'ocr_junk_pattern_{w}'" for w in JUNK_WORDS)
     reason = f"""case when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'contains_ascii_digit'
-      when {d.like('t', '[_|&%€$£₹]')} then 'bad_ocr_symbols' when {d.like('t', '[«»\\[\\]]')} then 'brackets_or_guillemets'
+      when {d.like('t', f'[{within(BAD_SYMBOLS[:8])}]')} then 'bad_ocr_symbols' when {d.like('t', f'[{within(BAD_SYMBOLS[8:])}]')} then 'brackets_or_guillemets'
       when contains(t, 'भाषाबंशावती') then 'noisy_header' when n_letters < 4 then 'fragment_like_too_few_letters' when n < 12 and n - n_letters > 0.60 * n then 'fragment_like_mostly_non_letters'
       when n_dev < 0.50 * n then 'low_devanagari_ratio' {junk} when contains(t, '००००') then 'ocr_junk_repeating_digits'
       when n_latin > 0 then 'ocr_junk_latin_characters' when {d.like('t', r'\S{40,}')} then 'ocr_junk_long_word_garbage' when n_label_symbols > 0.15 * n then 'symbol_heavy'
@@ -70,9 +104,9 @@ def label_rules(d, source: str = "") -> str:
     return d.once(counted(d, source or lines(d)), reason=reason)
 
 
-def flags(t: str = "t") -> str:
+def flags(d, t: str = "t") -> str:
     return f"""length({t}) as line_length, {t} like '%।%' as has_danda, {t} like '%॥%' as has_double_danda,
-      length({t}) <> length(translate({t}, '0123456789{DIGITS}', '')) as has_digit, {t} like '%्%' as has_conjunct"""
+      {digit(d, t)} as has_digit, {t} like '%्%' as has_conjunct"""
 
 
 def padded(n: str) -> str:
@@ -93,7 +127,7 @@ def labels(d) -> str:
     """Kept lines with running ids per source, split by source number, and flags."""
     number = f"cast({d.first('source', '([0-9]+)$')} as int)"
     return f"""select concat(source, '_', {padded('k')}) as line_id, source as source_id, doc_id, line_no, piece_no, t, lang as domain,
-      case when {number} % 10 <= 7 then 'train' when {number} % 10 = 8 then 'val' else 'test' end as split, {flags()}
+      case when {number} % 10 <= 7 then 'train' when {number} % 10 = 8 then 'val' else 'test' end as split, {flags(d)}
       from ({d.running(kept(d), 'source', KEY)})"""
 
 
@@ -110,16 +144,16 @@ PLANS = {
     "scan_lines": lambda d: lines(d),
     "char_class_counts": lambda d: f"select {KEY}, n, n_dev, n_letters, n_latin, n_digits, n_symbols, n_label_symbols from ({counted(d, lines(d, False))})",
     "char_ratios": lambda d: f"select {KEY}, round(cast(n_dev as double) / n, 6) as dev_ratio, round(cast(n_latin as double) / n, 6) as latin_ratio, round(cast(n_symbols as double) / n, 6) as symbol_ratio from ({counted(d, lines(d, False))}) where n > 0",
-    "ws_collapse": lambda d: f"select doc_id, trim({d.replace('text', r'[\s\x1c-\x1f]+', ' ')}) as text from documents",
+    "ws_collapse": lambda d: f"select doc_id, trim({d.replace('text', f'[{BLANK}]+', ' ')}) as text from documents",
     "digit_normalize": lambda d: f"select {KEY}, translate(t, '0123456789', '{DIGITS}') as normalized, t <> translate(t, '0123456789', '{DIGITS}') as changed from ({lines(d)})",
     "html_escape": lambda d: "select doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;') as escaped from documents",
-    "label_flags": lambda d: f"select {KEY}, {flags()} from ({lines(d)})",
+    "label_flags": lambda d: f"select {KEY}, {flags(d)} from ({lines(d)})",
     "target_hits": lambda d: f"select {KEY}, concat_ws(',', {', '.join(f'case when t like {chr(39)}%{m}%{chr(39)} then {chr(39)}{m}{chr(39)} end' for m in MATRAS)}) as hits from ({lines(d)})",
     "clean_reasons": lambda d: f"select {KEY}, source, t, reason from ({first_pass(d)})",
     "clean_reasons_by_source": lambda d: f"select source, reason, count(*) as n_lines, cast(sum(n) as bigint) as n_chars from ({first_pass(d)}) group by source, reason",
     "label_reasons": lambda d: f"select {KEY}, source, t, reason from ({label_rules(d)})",
-    "reject_matrix": lambda d: f"""with r as ({label_rules(d)}), s as (select distinct source from documents), k as (select distinct reason from r),
-      c as (select source, reason, count(*) as n from r group by source, reason)
+    "reject_matrix": lambda d: f"""with c as (select source, reason, count(*) as n from ({label_rules(d)}) group by source, reason), s as (select distinct source from documents),
+      k as (select reason from c group by reason having sum(n) > 0)
       select s.source, k.reason, coalesce(c.n, 0) as n from s cross join k left join c on s.source = c.source and k.reason = c.reason""",
     "dedup_file": lambda d: f"select source, {KEY}, t from ({d.earliest(f'select * from ({first_pass(d)}) where reason = {chr(39)}keep{chr(39)}', 'source, t', KEY)})",
     "dedup_global": kept,
@@ -137,21 +171,18 @@ PLANS = {
     "pct_share": lambda d: f"select domain, count(*) as n, round(100.0e0 * count(*) / sum(count(*)) over (), 6) as pct from ({labels(d)}) group by domain",
     "split_presence": lambda d: f"select count(distinct split) = 3 as all_present, count(distinct split) as n_splits from ({labels(d)}) where split in ('train', 'val', 'test')",
     "validate_text": lambda d: f"""select {KEY}, case when trim(t) = '' then 'blank' when n < 5 then 'too_short' when n > 160 then 'too_long' when n_digits > 0 then 'ascii_digit'
-      when n_latin > 0 then 'latin_letter' when {d.like('t', '[_|&%€$£₹«»\\[\\]]')} then 'bad_symbol' when n_dev = 0 then 'no_devanagari' else 'ok' end as verdict from ({counted(d, lines(d))})""",
-    "validate_final": lambda d: f"""select {KEY}, concat_ws(',', case when trim(t) = '' then 'blank' end, case when n_digits > 0 then 'ascii_digits' end, case when n_latin > 0 then 'latin_letters' end,
-      case when {d.like('t', '[_|&%€$£₹«»\\[\\]]')} then 'bad_symbols' end, case when n < 5 then 'short' end, case when n > 160 then 'long' end, case when n_dev = 0 then 'no_devanagari' end) as problems from ({counted(d, lines(d))})""",
-    "validate_core": lambda d: f"""select count(*) - count(distinct line_id) as duplicate_ids, count(*) filter (where trim(t) = '') as blank, count(*) filter (where line_length < 5) as short, count(*) filter (where line_length > 160) as long,
-      count(*) filter (where split is null) as missing_split from ({labels(d)})""",
+      when n_latin > 0 then 'latin_letter' when {d.like('t', f'[{within(BAD_SYMBOLS)}]')} then 'bad_symbol' when n_dev = 0 then 'no_devanagari' else 'ok' end as verdict from ({counted(d, lines(d))})""",
     "qa_verdict": lambda d: f"select case when count(*) - count(distinct line_id) + count(*) filter (where line_length < 5 or line_length > 160) = 0 then 'PASS' else 'FAIL' end as verdict from ({labels(d)})",
     "success_rate": lambda d: f"select count(*) as attempted, count(*) filter (where reason = 'keep') as passed, round(100.0e0 * count(*) filter (where reason = 'keep') / count(*), 6) as rate from ({label_rules(d)})",
     "priority_dedup_final": lambda d: f"select {KEY}, lang, t from ({d.earliest(ranked(d), 't', f'low, {KEY}', 'lang')})",
     "priority_dedup_core": lambda d: f"select {KEY}, source, t from ({d.earliest(ranked(d), 't', f'low, source, {KEY}')})",
-    "dup_pairs": lambda d: f"""select {KEY}, kept_doc, kept_line, kept_piece from (select *, first_value(doc_id) over w as kept_doc, first_value(line_no) over w as kept_line, first_value(piece_no) over w as kept_piece, row_number() over w as rn
-      from ({lines(d)}) where t <> '' window w as (partition by t order by {domain_rank('lang')} desc, {KEY})) where rn > 1""",
+    "dup_pairs": lambda d: f"""select l.doc_id, l.line_no, l.piece_no, k.doc_id as kept_doc, k.line_no as kept_line, k.piece_no as kept_piece from ({ranked(d)}) l
+      join ({d.earliest(ranked(d), 't', f'low, {KEY}')}) k on l.t = k.t where l.doc_id <> k.doc_id or l.line_no <> k.line_no or l.piece_no <> k.piece_no""",
     "dup_counts": lambda d: f"select source, count(*) - count(distinct t) as beyond_first, count(distinct t) as n_distinct from ({lines(d)}) group by source",
     "question_totals": lambda d: f"select lang, count(*) filter (where length(q) - length(replace(q, '?', '')) = 1) as single, count(*) filter (where length(q) - length(replace(q, '?', '')) > 1) as multiple_question_marks, cast(sum(length(q) - length(replace(q, '?', ''))) as bigint) as marks from (select *, translate(t, ',', '?') as q from ({lines(d)})) where q like '%?%' group by lang",
-    "largest_remainder": lambda d: _seats(d),
-    "stratified_sample": lambda d: f"""with s as ({_seats(d)}), r as (select line_id, split, source_id, row_number() over (partition by split, source_id order by md5(concat('42|', line_id)), line_id) as k from ({labels(d)}))
+    "largest_remainder": lambda d: _seats(f"select split, source_id, count(*) as n from ({labels(d)}) group by split, source_id"),
+    "stratified_sample": lambda d: f"""with r as ({d.hash_rank(f"select line_id, split, source_id, concat(split, '|', source_id) as stratum from ({labels(d)})", 'stratum', '42')}),
+      s as ({_seats('select split, source_id, max(k) as n from r group by split, source_id')})
       select r.line_id, r.split, r.source_id from r join s on r.split = s.split and r.source_id = s.source_id where r.k <= 120 and r.k <= s.seats""",
     "seeded_sample": lambda d: f"select line_id, t from ({labels(d)}) order by md5(concat('42|', line_id)), line_id limit 200",
     "assign_split": lambda d: f"select line_id, case when k <= 0.8 * n then 'train' when k <= 0.9 * n then 'val' else 'test' end as split from ({d.hash_rank(f'select line_id, source_id from ({labels(d)})', 'source_id', '7')})",
@@ -184,14 +215,13 @@ PLANS = {
 }
 
 
-def _seats(d) -> str:
-    """Largest remainders: 120 seats of each split over its sources, in integers."""
+def _seats(counts: str) -> str:
+    """Largest remainders: 120 seats of each split over its sources, in integers.
+    ``counts`` gives split, source_id and n."""
     return f"""select split, source_id, n, base + (case when rk <= 120 - sum(base) over (partition by split) then 1 else 0 end) as seats from (
       select *, row_number() over (partition by split order by rest desc, source_id) as rk from (
-        select split, source_id, n, (120 * n - (120 * n) % total) / total as base_d, cast((120 * n - (120 * n) % total) / total as bigint) as base, (120 * n) % total as rest from (
-          select split, source_id, count(*) as n, cast(sum(count(*)) over (partition by split) as bigint) as total from ({labels(d)}) group by split, source_id)))""".replace(
-        "(120 * n - (120 * n) % total) / total as base_d, ", ""
-    )
+        select split, source_id, n, cast((120 * n - (120 * n) % total) / total as bigint) as base, (120 * n) % total as rest from (
+          select split, source_id, n, cast(sum(n) over (partition by split) as bigint) as total from ({counts}))))"""
 
 
 def _charset(d) -> str:

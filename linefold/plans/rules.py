@@ -124,9 +124,6 @@ PLANS = {
     "dist_variant": lambda d: f"select variant_index, split, count(*) as n from ({named(d)}) group by variant_index, split order by variant_index",
     "row_filters": lambda d: f"select line_id, variant_index, case when has_digit then 'digit' when score between 35 and 68 then 'borderline' else 'conjunct' end as taken_as from ({named(d)}) where split = 'train' and (has_digit or has_conjunct or score between 35 and 68)",
     "flag_cascade": lambda d: f"select l.line_id, coalesce(nullif(trim(case when l.has_digit then '' else 'false' end), ''), cast(h.quality as varchar(9)), 'computed') as flag from ({ln.labels(d)}) l left join (select doc_id, max(quality) as quality from labels group by doc_id) h on l.doc_id = h.doc_id",
-    "manifest_qa": lambda d: f"select count(*) as n, count(*) - count(distinct image_path) as duplicate_paths, count(*) filter (where t = '') as blank, count(*) filter (where {d.like('t', '[0-9]')}) as digits, count(*) filter (where {d.like('t', '[a-zA-Z]')}) as latin, count(*) filter (where split not in ('train', 'val', 'test')) as other_split from ({named(d)})",
-    "qa_audit": lambda d: f"select count(*) filter (where line_id is null or split is null) as missing_fields, count(*) filter (where {d.like('t', '[0-9]')}) as digits_left, count(*) filter (where t like '%।%') as danda, count(*) filter (where t like '%॥%') as double_danda from ({ln.labels(d)})",
-    "charset_gate": lambda d: f"select count(*) filter (where ch in ('।', '्')) = 2 and count(*) filter (where {d.like('ch', '^[a-zA-Z0-9]$')}) = 0 as passed, count(*) as n from ({ln._charset(d)})",
     "charset_order": lambda d: f"select char_id, ch from ({ln._charset(d)}) order by char_id",
     "font_division": font_division,
     "topup_sample": lambda d: top_up(d, ln.labels(d), "5000"),
@@ -136,7 +133,6 @@ PLANS = {
     "per_profile_rep": lambda d: f"select profile, line_id, variant_index from ({d.earliest(named(d), 'profile', 'line_id, variant_index')})",
     "chunking": lambda d: f"select chunk, min(k) as first_row, count(*) as n from (select k, cast((k - 1 - (k - 1) % 512) / 512 as bigint) as chunk from ({d.running('select * from documents', 'source', 'doc_id')})) group by chunk",
     "skip_examples": lambda d: f"select reason, t from (select reason, t, row_number() over (partition by reason order by {ln.KEY}) as k from ({d.earliest(f'select * from ({ln.first_pass(d)}) where reason <> {chr(39)}keep{chr(39)}', 'reason, t', ln.KEY)})) where k <= 20",
-    "validate_flags": lambda d: f"select count(*) filter (where line_length <> length(t)) as bad_length, count(*) filter (where has_danda <> (t like '%।%')) as bad_danda, count(*) filter (where has_conjunct <> (t like '%्%')) as bad_conjunct from ({ln.labels(d)})",
     "check_all": lambda d: f"select count(*) as n, count(*) filter (where score < 10) as risky, min(score) as min_score, max(score) as max_score from ({readability(d)})",
     "params_json": lambda d: "select event_id, concat('{\"k\":', " + d.json("props", "$.k") + ", '}') as params from events",
     "split_text_head": lambda d: f"select {ln.KEY}, case when length(t) > 40 then concat(substr(t, 1, 40), '…') else t end as head from ({ln.lines(d)})",

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import tempfile
+import unicodedata
 import uuid
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +27,15 @@ EMPTY_BYTES = 50
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share.
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only where the session names none and runs in this
+    process alone, as in tests; a cluster without one is an error.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linefold-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="linefold-"))
     return f"{sc.getCheckpointDir()}/files-{uuid.uuid4().hex}"
 
 
@@ -36,6 +48,19 @@ def nfc(column):
     return compose(column)
 
 
+def char_names(chars: DataFrame, column: str = "ch") -> DataFrame:
+    """``chars`` with the Unicode name and category of a character ("" if it has no name)
+    and whether it is punctuation: by category, a danda, or an ASCII sign."""
+    ascii_signs = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+
+    @F.pandas_udf("name string, category string, punctuation boolean")
+    def named(x: pd.Series) -> pd.DataFrame:
+        category = x.map(unicodedata.category)
+        return pd.DataFrame({"name": x.map(lambda c: unicodedata.name(c, "")), "category": category, "punctuation": category.str.startswith("P") | x.isin(ascii_signs | {"।", "॥"})})
+
+    return chars.withColumn("_n", named(F.col(column))).select("*", "_n.*").drop("_n")
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Rows (file, line_no from 0, line) of whole files, composed and split at every
     Unicode line end; one empty piece after a last line end is no line."""
@@ -113,6 +138,135 @@ def image_headers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"), F.when(png, number(17)).alias("width"), F.when(png, number(21)).alias("height"))
 
 
+PNG_MARK = b"\x89PNG\r\n\x1a\n"
+
+
+def png_encoded(pixels: np.ndarray) -> bytes:
+    """A gray image of 8 bits as PNG, rows unfiltered."""
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    h, w = pixels.shape
+    rows = np.concatenate([np.zeros((h, 1), np.uint8), pixels], axis=1).tobytes()
+    return PNG_MARK + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def _unfiltered(kind: int, row: np.ndarray, above: np.ndarray, step: int) -> np.ndarray:
+    """A PNG row from its differences to the pixel left of, above and left above it."""
+    if kind == 0:
+        return row
+    if kind == 1:
+        return row.reshape(-1, step).cumsum(axis=0, dtype=np.uint8).reshape(-1)
+    if kind == 2:
+        return row + above
+    out, up = [0] * step + row.tolist(), [0] * step + above.tolist()
+    for i in range(step, len(out)):
+        a, b, c = out[i - step], up[i], up[i - step]
+        near = (a + b) // 2 if kind == 3 else min((a, b, c), key=lambda x: abs(a + b - c - x))
+        out[i] = (out[i] + near) & 255
+    return np.array(out[step:], np.uint8)
+
+
+def png_decoded(data: bytes) -> np.ndarray | None:
+    """Gray pixels of a PNG of 8 bits a channel, not interlaced, without a palette; colour
+    is weighed into gray and transparency ignored.  None for anything else."""
+    if not data.startswith(PNG_MARK) or len(data) < 33:
+        return None
+    w, h, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", data[16:29])
+    step = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
+    if depth != 8 or interlaced or step is None:
+        return None
+    at, body = 8, b""
+    while at + 8 <= len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body += data[at + 8 : at + 8 + size] if kind == b"IDAT" else b""
+        at += 12 + size
+    try:
+        flat = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, w * step + 1)
+    except (zlib.error, ValueError):
+        return None
+    rows, above = [], np.zeros(w * step, np.uint8)
+    for line in flat:
+        above = _unfiltered(int(line[0]), line[1:], above, step)
+        rows.append(above)
+    x = np.stack(rows).reshape(h, w, step).astype(np.int64) if rows else np.zeros((0, w, step), np.int64)
+    return (x[..., 0] if step < 3 else (x[..., 0] * 19595 + x[..., 1] * 38470 + x[..., 2] * 7471 + 32768) >> 16).astype(np.uint8)
+
+
+def write_png(images: DataFrame, folder: str) -> DataFrame:
+    """Writes ``images(name, height, width, data)`` as ``folder/name.png``; returns name
+    and size of what was written.  A file appears when it is complete, and a task that
+    runs again writes it again.  Rows whose data do not fit their size are left out."""
+    fs, root = pafs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+    fs.create_dir(root, recursive=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes = [], []
+            for name, h, w, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if name is None or data is None or h is None or w is None or len(data) != h * w:
+                    continue
+                own, base = pafs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+                body = png_encoded(np.frombuffer(data, np.uint8).reshape(h, w))
+                part = f"{base}/{name}.{uuid.uuid4().hex}.part"
+                with own.open_output_stream(part) as out:
+                    out.write(body)
+                own.move(part, f"{base}/{name}.png")
+                names.append(name)
+                sizes.append(len(body))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["name", "bytes"])
+
+    return images.select(F.col("name").cast("string"), "height", "width", "data").mapInArrow(run, "name string, bytes long")
+
+
+def png_pixels(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (name, height, width, data) of the PNG files of a folder; what cannot be
+    read has null height, width and data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [png_decoded(x) for x in batch.column(1).to_pylist()]
+            of = lambda f: [None if x is None else f(x) for x in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of(lambda x: x.shape[0]), pa.int32()), pa.array(of(lambda x: x.shape[1]), pa.int32()), pa.array(of(lambda x: x.tobytes()), pa.binary())], ["name", "height", "width", "data"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]*)\.png$", 1).alias("name"), "content").mapInArrow(run, "name string, height int, width int, data binary")
+
+
+def yaml_config(spark: SparkSession, path: str) -> dict:
+    """A YAML file as a dictionary; an empty file is an empty one."""
+    import yaml
+
+    return yaml.safe_load("".join(r.value for r in spark.read.text(path, wholetext=True).collect())) or {}
+
+
+def standard_names(spark: SparkSession, folder: str) -> list[str]:
+    """Copies files named like ``lines (1).csv`` to ``lines.csv`` and returns the new
+    names.  Of several copies the one with the largest number is taken; a file that has
+    the plain name is replaced."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    found: dict[str, tuple[int, str]] = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if m := re.fullmatch(r"(.+) \((\d+)\)(\.[^.]+)?", name):
+            plain = m[1] + (m[3] or "")
+            found[plain] = max(found.get(plain, (-1, "")), (int(m[2]), name))
+    for plain, (_, name) in found.items():
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, jvm.org.apache.hadoop.fs.Path(root, name), fs, jvm.org.apache.hadoop.fs.Path(root, plain), False, True, conf)
+    return sorted(found)
+
+
+def write_if_passed(gate: DataFrame, write) -> None:
+    """Calls ``write()`` unless a row of the gate says FAIL or is not passed; raises
+    ValueError, with the gate's first such row, before anything is written."""
+    failed = [F.col(c) == F.lit(v) for c, v in (("verdict", "FAIL"), ("passed", False)) if c in gate.columns]
+    if not failed:
+        raise ValueError("the gate has neither verdict nor passed")
+    if bad := gate.where(reduce(lambda a, b: a | b, failed)).head():
+        raise ValueError(f"not written: {bad.asDict()}")
+    write()
+
+
 def missing_paths(rows: DataFrame, files: DataFrame, column: str = "image_path") -> DataFrame:
     """Rows whose path's last part is not among the listed files."""
     listed = files.select(F.element_at(F.split("path", "/"), -1).alias("_name")).distinct()
@@ -144,3 +298,9 @@ def markdown(df: DataFrame, title: str) -> str:
     cell = lambda x: str("" if x is None else x).replace("|", "\\|")
     rows = [df.columns, ["---"] * len(df.columns), *df.toLocalIterator()]
     return f"# {title}\n\n" + "\n".join("| " + " | ".join(map(cell, r)) + " |" for r in rows) + "\n"
+
+
+def report(title: str, sections: list[tuple[str, DataFrame | str]]) -> str:
+    """A report of several headed sections, each a paragraph or a table of a small result."""
+    body = [x if isinstance(x, str) else markdown(x, "").split("\n", 2)[2].strip() for _, x in sections]
+    return f"# {title}\n\n" + "\n".join(f"## {name}\n\n{text}\n" for (name, _), text in zip(sections, body))

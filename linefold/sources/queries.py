@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck
-from ..plans import lines, rules
+from ..plans import images, lines, rules
 from ..streaming import dedup
 from . import files
 
@@ -68,6 +68,19 @@ def build(run) -> tuple[dict, dict]:
         listed = rows.where("variant_index = 1").select(F.concat(F.lit("/images/"), "image_path").alias("path"))
         return files.missing_paths(rows, listed).select("line_id", "variant_index")
 
+    def char_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return files.char_names(run(lines.PLANS["charset_ids"])(spark, sf_dir).select("char_id", "ch"))
+
+    def png_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The pixel fixture as PNG files, read again: measures of the decoded pixels."""
+        at = files.work_folder(spark)
+        value = lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(160 + 50 * (1 + F.col("vec_id") % 8) * x.cast("double")).cast("int")))
+        rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+        pictures = rows.select(F.col("vec_id").alias("name"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.unhex(F.array_join(F.transform("embedding", lambda x: F.lpad(F.hex(value(x)), 2, "0")), "")).alias("data"))
+        files.write_png(pictures, at).write.format("noop").mode("overwrite").save()
+        byte = "transform(sequence(1, length(data)), i -> cast(conv(hex(substring(data, i, 1)), 16, 10) as bigint))"
+        return files.png_pixels(spark, at).select(F.col("name").cast("long").alias("vec_id"), "height", "width", F.expr(f"aggregate({byte}, 0L, (a, x) -> a + x)").alias("total"), F.expr(f"array_max({byte})").alias("brightest"))
+
     own = lines.PLANS["label_rows"](Duck)
     sql = {
         "scan_labels": own,
@@ -78,7 +91,8 @@ def build(run) -> tuple[dict, dict]:
         "split_mapping": "select distinct source as source_id, case when cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 10 <= 7 then 'train' when cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 10 = 8 then 'val' else 'test' end as split from documents",
         "charset_load": f"select char_id, ch from ({lines.PLANS['charset_ids'](Duck)})",
         "missing_paths": f"select line_id, variant_index from ({rules.PLANS['image_names'](Duck)}) where variant_index <> 1",
+        "png_roundtrip": f"select vec_id, 8 as height, 8 as width, cast(sum(v) as bigint) as total, cast(max(v) as bigint) as brightest from ({images.pixels(Duck)}) group by vec_id",
         "stream_dedup": f"select distinct t from ({lines.lines(Duck)})",
     }
-    found = {f.__name__: f for f in (scan_labels, ingest_tagged, ingest_part, split_manifest, split_mapping, charset_load, missing_paths, nfc_text, stream_dedup)}
+    found = {f.__name__: f for f in (scan_labels, ingest_tagged, ingest_part, split_manifest, split_mapping, charset_load, missing_paths, nfc_text, stream_dedup, char_names, png_roundtrip)}
     return found, sql
