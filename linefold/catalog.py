@@ -50,5 +50,5 @@ def query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 _FILE_QUERIES, _FILE_SQL = through_files.build(query)
-QUERIES = {**{name: query(plan) for name, plan in PLANS.items()}, **_FILE_QUERIES, **pixels.QUERIES}
+QUERIES = {**{name: query(plan) for name, plan in PLANS.items()}, **_FILE_QUERIES, **pixels.build(query)}
 SQL = {**{name: plan(Duck) for name, plan in PLANS.items()}, **_FILE_SQL}

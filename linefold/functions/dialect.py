@@ -127,6 +127,11 @@ class Spark:
     def json(x: str, path: str) -> str:
         return f"get_json_object({x}, '{path}')"
 
+    @staticmethod
+    def object_of(**fields: str) -> str:
+        """A JSON object of named values."""
+        return f"to_json(named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {v}' for k, v in fields.items())}))"
+
     @staticmethod
     def joined(x: str, order: str, by: str = ",") -> str:
         return f"array_join(transform(array_sort(collect_list(struct({order}, {x} as x))), v -> v.x), '{by}')"
@@ -249,6 +254,10 @@ class Duck(Spark):
     def json(x: str, path: str) -> str:
         return f"json_extract_string({x}, '{path}')"
 
+    @staticmethod
+    def object_of(**fields: str) -> str:
+        return f"cast(json_object({', '.join(f'{chr(39)}{k}{chr(39)}, {v}' for k, v in fields.items())}) as varchar)"
+
     @staticmethod
     def joined(x: str, order: str, by: str = ",") -> str:
         return f"string_agg({x}, '{by}' order by {order})"

@@ -59,6 +59,20 @@ def show_through(x, rng, s):
     return np.where(x >= INK, clip(x - (255 - x[:, ::-1].astype(float)) * 0.25 * s), x)
 
 
+def patterns(x, rng, s):
+    """Faint slanted lines of a page below, on background pixels only."""
+    h, w = x.shape
+    yy, xx = np.mgrid[:h, :w]
+    lines = (xx + int(rng.integers(1, 4)) * yy + int(rng.integers(0, 9))) % 9 < 2
+    return np.where((x >= INK) & lines, clip(x - 25.0 * s), x)
+
+
+def bleed_through(x, rng, s):
+    """The mirrored line, blurred and shifted, through the whole sheet."""
+    back = around(np.roll(x[:, ::-1], int(rng.integers(-3, 4)), axis=1), 3, 3).mean(0)
+    return clip(x - (255 - back) * 0.2 * s)
+
+
 def fade(x, rng, s, floor: float = 60, ceiling: float = 240):
     return (floor * s + x / 255 * (ceiling - floor * s)).astype(np.uint8)
 
@@ -71,6 +85,12 @@ def thicken(x, rng, s):
     return clip((1 - s) * x + s * around(x, 2, 2).min(0))
 
 
+def bleed(x, rng, s):
+    """Ink spread into the paper around it: darker near ink, and soft."""
+    spread = around(x, 3, 3).min(0)
+    return clip((1 - 0.6 * s) * x + 0.6 * s * around(spread, 3, 3).mean(0))
+
+
 def opacity(x, rng, s):
     share = np.interp(np.arange(x.shape[1]), np.linspace(0, x.shape[1], 6), rng.uniform(1 - 0.5 * s, 1, 6))
     return clip(255 - (255.0 - x) * share)
@@ -137,9 +157,13 @@ def moved(x, dy, dx):
 
 
 def skew(x, rng, s):
+    """A small rotation about the centre, with shear and translation."""
     h, w = x.shape
     yy, xx = np.mgrid[:h, :w]
-    return moved(x, (xx - w / 2) * rng.uniform(-0.01, 0.01) * s, (yy - h / 2) * rng.uniform(-0.05, 0.05) * s)
+    y, z = yy - h / 2, xx - w / 2
+    turn, shear = np.deg2rad(rng.uniform(-0.6, 0.6) * s), rng.uniform(-0.04, 0.04) * s
+    down, right = rng.uniform(-1, 1, 2) * s
+    return moved(x, y * (np.cos(turn) - 1) + z * np.sin(turn) + down, z * (np.cos(turn) - 1) - y * np.sin(turn) + shear * y + right)
 
 
 def warp(x, rng, s):
@@ -152,16 +176,20 @@ PROFILES: dict[str, list[tuple[Kernel, float]]] = {
     "D4_broken_strokes": [(broken, 1.0)], "D5_noisy_archive_scan": [(specks, 1.0), (texture, 0.8)], "D6_blurred_scan": [(blur, 1.0)], "D7_old_paper_texture": [(texture, 1.0), (dark_edges, 0.6)],
     "D8_old_scan_soft": [(blur, 0.5), (texture, 0.3)], "D9_faded_gray_ink": [(fade, 1.2), (opacity, 0.5)], "D10_noisy_scan_crop": [(specks, 0.8), (dark_edges, 1.0)], "D11_mild_warped_line": [(warp, 1.0)],
     "D12_dark_thick_scan": [(thicken, 0.8)], "D13_washed_out_faint_manuscript": [(fade, 1.8), (opacity, 0.8), (blur, 0.4)], "D14_low_dpi_compressed_scan": [(low_resolution, 1.0), (blur, 0.4)],
-    "D15_bleedthrough_archival": [(show_through, 1.5), (texture, 0.6)], "D16_ink_bleed_spread": [(thicken, 1.0), (blur, 0.7)], "D17_local_stain_shadow": [(stain, 1.0), (illumination, 0.8)],
+    "D15_bleedthrough_archival": [(bleed_through, 1.5), (texture, 0.6)], "D16_ink_bleed_spread": [(bleed, 1.0), (blur, 0.4)], "D17_local_stain_shadow": [(stain, 1.0), (illumination, 0.8)],
     "D18_fold_crease_damage": [(crease, 1.5), (wormholes, 0.8)], "D19_weak_shirorekha_dropout": [(headline_gaps, 1.0), (fade, 0.8)], "D20_partial_erosion_thin_strokes": [(thin, 0.7), (broken, 0.6)],
-    "D21_mixed_manuscript_hard": [(stain, 0.7), (opacity, 0.6), (texture, 0.8), (skew, 1.0)], "D22_reverse_showthrough_soft": [(show_through, 0.8), (blur, 0.4)], "D23_fragmented_scan_crop": [(wormholes, 1.0), (motion, 0.4), (streaks, 1.0)],
+    "D21_mixed_manuscript_hard": [(stain, 0.7), (opacity, 0.6), (texture, 0.8), (skew, 1.0)], "D22_reverse_showthrough_soft": [(show_through, 0.8), (patterns, 0.5), (blur, 0.4)], "D23_fragmented_scan_crop": [(wormholes, 1.0), (motion, 0.4), (streaks, 1.0)],
 }
 
 
+# Profiles that are tried again with milder strength, and the least contrast,
+# score and continuity that a try must reach.
+ADAPTIVE = {"D13_washed_out_faint_manuscript": (35, 0, 0.0), "D14_low_dpi_compressed_scan": (35, 0, 0.0), "D19_weak_shirorekha_dropout": (35, 75, 0.70), "D20_partial_erosion_thin_strokes": (35, 75, 0.65)}
+
 #: Stages of a composed degradation; None leaves the image as it is.
 COMPOSED: dict[str, dict[str, tuple[Kernel, float] | None]] = {
-    "substrate": {"illumination": (illumination, 0.8), "texture": (texture, 0.6), "stains": (stain, 0.5), "bleedthrough": (show_through, 0.5), "showthrough": (show_through, 0.3), "none": None},
-    "ink": {"fade": (fade, 1.0), "thin": (thin, 0.4), "thick": (thicken, 0.5), "broken": (broken, 1.0), "shirorekha": (headline_gaps, 0.5), "bleed": (thicken, 0.3), "none": None},
+    "substrate": {"illumination": (illumination, 0.8), "texture": (texture, 0.6), "stains": (stain, 0.5), "bleedthrough": (bleed_through, 0.5), "showthrough": (show_through, 0.3), "none": None},
+    "ink": {"fade": (fade, 1.0), "thin": (thin, 0.4), "thick": (thicken, 0.5), "broken": (broken, 1.0), "shirorekha": (headline_gaps, 0.5), "bleed": (bleed, 0.5), "none": None},
     "scan": {"downsample": (low_resolution, 1.0), "blur": (blur, 0.5), "streaks": (streaks, 0.4), "none": None},
     "damage": {"pepper": (specks, 0.2), "wormholes": (wormholes, 0.3), "crease": (crease, 0.4), "none": None},
     "geometry": {"affine": (skew, 0.8), "warp": (warp, 0.5), "none": None},
@@ -213,27 +241,44 @@ def quality(x: Image) -> tuple[float, float, bool]:
     return contrast, round(float(min(100, max(0, score))), 2), contrast < RISKY_CONTRAST or deviation < RISKY_DEVIATION or x.shape[0] < 20
 
 
-def clipped(x: Image) -> bool:
-    """Whether ink, after a 3 by 3 median, touches the outermost pixels."""
+def continuity(x: Image, clean: Image) -> float:
+    """Ink of an image as a share of the clean one's; 1 where that has none."""
+    had = int((clean < INK).sum())
+    return int((x < INK).sum()) / had if had else 1.0
+
+
+def seen(x: Image) -> bool:
+    """Whether anything differs from white paper."""
+    return bool((x < 255).any())
+
+
+def clipped(x: Image, median: bool = True) -> bool:
+    """Whether ink, after a 3 by 3 median if asked, touches the outermost pixels."""
     if not x.size:
         return False
-    rows, cols = np.nonzero(np.median(around(x, 3, 3), axis=0) < INK)
+    rows, cols = np.nonzero((np.median(around(x, 3, 3), axis=0) if median else x) < INK)
     h, w = x.shape
     return bool(rows.size) and bool(rows.min() <= 1 or cols.min() <= 1 or rows.max() >= h - 2 or cols.max() >= w - 2)
 
 
 def degrade_one(x: Image, profile: str | None, seed: int, row_id: int) -> tuple[Image, int]:
-    """The degraded image and the attempts taken; each retry blends in 20 % more of the
-    clean image (80 % at most).  Unknown profiles leave the image as it is."""
-    out = x
+    """The degraded image and the attempts taken.  Adaptive profiles are tried again at a
+    strength lower by a fifth each time until contrast, score and continuity suffice;
+    others blend in 20 % more of the clean image at each retry (80 % at most) until the
+    image is no risk.  An image on which nothing is seen is tried again too.  Unknown
+    profiles leave the image as it is."""
+    out, asked = x, ADAPTIVE.get(profile or "")
     for attempt in range(ATTEMPTS):
         rng = np.random.default_rng([seed, row_id & 0xFFFFFFFFFFFFFFFF, attempt])
         out = x
         for kernel, strength in PROFILES.get(profile or "", []) if x.size else []:
-            out = kernel(out, rng, strength)
-        keep = min(0.8, 0.2 * attempt)
-        out = clip(keep * x + (1 - keep) * out.astype(float)) if attempt else out
-        if not quality(out)[2]:
+            out = kernel(out, rng, strength * (1 - 0.2 * attempt) if asked else strength)
+        if attempt and not asked:
+            keep = min(0.8, 0.2 * attempt)
+            out = clip(keep * x + (1 - keep) * out.astype(float))
+        contrast, score, risk = quality(out)
+        enough = contrast >= asked[0] and score >= asked[1] and continuity(out, x) >= asked[2] if asked else not risk
+        if enough and seen(out):
             return out, attempt + 1
     return out, ATTEMPTS
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import lines
+from . import raster
 from .degrade import PROFILES, degrade
 
 
@@ -22,4 +24,15 @@ def degraded_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return degrade(images).select("row_id", "profile", "attempts", F.round("contrast", 6).alias("contrast"), "score", "risk", "clipped", F.sha2("data", 256).alias("pixels"))
 
 
-QUERIES = {"degraded_images": degraded_images}
+def rendered_lines(run):
+    """Labels drawn in a font that lacks some characters, sizes drawn by plan."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        drawn = raster.render(run(lines.PLANS["label_rows"])(spark, sf_dir), font=3)
+        return drawn.select("line_id", "renderer", "reason", "height", "width", F.sha2("data", 256).alias("pixels"))
+
+    return query
+
+
+def build(run) -> dict:
+    return {"degraded_images": degraded_images, "rendered_lines": rendered_lines(run)}

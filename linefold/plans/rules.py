@@ -105,6 +105,65 @@ def top_up(d, pool: str, target: str, order: str = "42") -> str:
     return f"select line_id, domain, cast(({target} - k - ({target} - k) % n) / n as bigint) + 1 as times from ({ranked}) where k <= {target}"
 
 
+# Where the body of a file begins and ends.  ``start``: markers of the first
+# line, ``before``: lines kept before it, ``title``: a line up to five before it that is
+# kept too, ``after``: markers that must come first, ``otherwise``: the least line number
+# where these are absent; ``end``: markers of the last line, ``last``: whether the last
+# such line counts and stays, else the first one more than a thousand lines on, which goes.
+BODIES = {
+    "bhasha_vamshavali_1.txt": {"start": ["श्रीणणेशाय नमः", "श्रीगणेशाय नमः"], "title": "भाषावंशावली"},
+    "nepali_sanskriti_vishayak_agralekhharu.txt": {"start": ["डा. जगदीश चन्द्र रेग्मी"], "before": 3, "end": ["धन्यवाद ज्ञापन गर्दछु"], "last": True},
+    "devmala_vamshavali.txt": {"start": ["नमो गोरङ्गकालीम्याम्‌"], "end": ["समाप्त भयो"], "last": True},
+    "nepal_ko_itihas_peshal_dahal.txt": {
+        "start": ["नेपालको इतिहासका स्रोतहरू", "नेपालको इतिहास"], "after": ["सहायक ग्रन्थस्‌ची", "सहायक ग्रन्थसूची"], "otherwise": ("नेपालको इतिहासका स्रोतहरू", 100), "end": ["सहायक ग्रन्थ", "सहायक ग्रन्थहरूको सूची", "सहायक ग्रन्थहरूको स्‌ची"],
+    },
+}
+#: The same rules with the fixture's letters, for files by their number.
+FIXTURE_BODIES = {"0": {"start": ["क"], "title": "ज"}, "1": {"start": ["क"], "before": 3, "end": ["म"], "last": True}, "2": {"start": ["जा"], "end": ["ख"], "last": True}, "3": {"start": ["ज", "फ"], "after": ["व"], "otherwise": ("ज", 2), "end": ["प"]}}
+
+
+def body_ranges(d, source: str, bodies: dict) -> str:
+    """The body of each file, [start_at, end_at), from rows (doc_id, file, line_no, t).
+
+    A file without a rule, or without the markers, is kept whole.
+    """
+    has = lambda words: "(" + (" or ".join(f"contains(t, '{w}')" for w in words) or "1 = 0") + ")"
+    pick = lambda of: "case file " + " ".join(f"when '{f}' then {of(r)}" for f, r in bodies.items()) + " end"
+    first = lambda c: f"min(case when {c} then line_no end) over (partition by doc_id)"
+    plain, toc = lambda r: "after" not in r, lambda r: "after" in r
+    a = f"""select *, max(line_no) over (partition by doc_id) + 1 as n, {first(pick(lambda r: has(r['start']) if plain(r) else '1 = 0'))} as found,
+      {first(pick(lambda r: has(r.get('after', []))))} as toc, {first(pick(lambda r: f"contains(t, '{r['otherwise'][0]}') and line_no > {r['otherwise'][1]}" if 'otherwise' in r else '1 = 0'))} as otherwise from ({source})"""
+    back, beyond = pick(lambda r: f"contains(t, '{r['title']}')" if r.get("title") else "1 = 0"), pick(lambda r: has(r["start"]) if toc(r) else "1 = 0")
+    b = f"""select *, {first(f'line_no >= found - 5 and line_no < found and ({back})')} as title, {first(f'line_no > toc and ({beyond})')} as next from ({a})"""
+    start = f"coalesce(title, case when found is not null then greatest(0, found - ({pick(lambda r: r.get('before', 0))})) end, case when toc is null then otherwise else next end, 0)"
+    c = f"select *, {start} as start_at from ({b})"
+    ends = lambda last: pick(lambda r: has(r.get("end", [])) if bool(r.get("last")) == last else "1 = 0")
+    return f"""select doc_id, file, min(start_at) as start_at, coalesce(max(case when line_no > start_at and ({ends(True)}) then line_no end) + 1,
+      min(case when line_no > start_at + 1000 and ({ends(False)}) then line_no end), max(n)) as end_at from ({c}) group by doc_id, file"""
+
+
+def fixture_files(d) -> str:
+    return f"select doc_id, cast(doc_id % 4 as varchar(1)) as file, line_no, t from ({ln.lines(d)}) where piece_no = 0"
+
+
+WORKERS = 8
+
+
+def chunk_rows(d) -> str:
+    """Documents in order with the size of a chunk: as many chunks as workers, at most."""
+    total = f"((select count(*) from documents where doc_id is not null) + {WORKERS - 1})"
+    rows = d.running("select doc_id, 'all' as everything from documents where doc_id is not null", "everything", "doc_id")
+    return f"select k, cast(({total} - {total} % {WORKERS}) / {WORKERS} as bigint) as size from ({rows})"
+
+
+def twelve(d) -> str:
+    """Twelve rows for a sheet: the first of each profile in order, then other rows."""
+    first = f"select profile, line_id, variant_index, 0 as filler from ({d.earliest(named(d), 'profile', 'line_id, variant_index')})"
+    rest = f"select profile, line_id, variant_index, 1 as filler from ({named(d)})"
+    kept = d.earliest(f"{first} union all {rest}", "line_id, variant_index", "filler, profile")
+    return f"select line_id, variant_index, profile, filler from ({kept}) order by filler, profile, line_id, variant_index limit 12"
+
+
 QUOTA = "case domain when 'en' then 7500 when 'fr' then 7500 when 'de' then 5000 else 2500 end"
 SUMMARY = "count(*) as n, round(avg(score), 6) as avg_score, count(*) filter (where score < 35) as low, count(*) filter (where score between 35 and 68) as borderline"
 
@@ -112,8 +171,7 @@ SUMMARY = "count(*) as n, round(avg(score), 6) as avg_score, count(*) filter (wh
 PLANS = {
     "question_rule": lambda d: f"select {ln.KEY}, q, reason, reason like 'matched%' as kept from ({question_rule(d)})",
     "question_reasons": lambda d: f"select reason, count(*) as n from ({question_rule(d)}) group by reason",
-    "body_range": lambda d: f"""select doc_id, greatest(0, coalesce(start_at, 3) - 3) as first_line, case when end_at > coalesce(start_at, 0) then end_at + 1 else n end as end_line from (
-      select doc_id, min(case when t like '%क%' then line_no end) as start_at, max(case when t like '%म%' then line_no end) as end_at, max(line_no) + 1 as n from ({ln.lines(d)}) group by doc_id)""",
+    "body_range": lambda d: f"select doc_id, start_at as first_line, end_at as end_line from ({body_ranges(d, fixture_files(d), FIXTURE_BODIES)})",
     "image_names": lambda d: f"select line_id, variant_index, image_path from ({named(d)})",
     "degradation_level": lambda d: f"select profile, difficulty, cast({d.first('profile', '^D([0-9]+)_')} as int) as level, count(*) as n from ({named(d)}) group by profile, difficulty",
     "profile_probs": profiles,
@@ -131,9 +189,10 @@ PLANS = {
     "gap_fill": lambda d: f"select line_id, times from ({top_up(d, f'select line_id, {chr(39)}all{chr(39)} as domain from ({ln.labels(d)})', '100000', '8888')}) where times > 1",
     "smoke_sample": lambda d: f"select line_id, split, cast((k - 1 - (k - 1) % 5) / 5 as bigint) as forced from (select line_id, split, row_number() over (partition by split order by md5(concat('42|', line_id)), line_id) as k from ({ln.labels(d)})) where k <= 200 and k <= case split when 'train' then 200 else 50 end",
     "per_profile_rep": lambda d: f"select profile, line_id, variant_index from ({d.earliest(named(d), 'profile', 'line_id, variant_index')})",
-    "chunking": lambda d: f"select chunk, min(k) as first_row, count(*) as n from (select k, cast((k - 1 - (k - 1) % 512) / 512 as bigint) as chunk from ({d.running('select * from documents', 'source', 'doc_id')})) group by chunk",
+    "twelve_samples": twelve,
+    "chunking": lambda d: f"select chunk, min(k) - 1 as start_at, count(*) as n from (select k, cast((k - 1 - (k - 1) % size) / size as bigint) as chunk from ({chunk_rows(d)})) group by chunk",
     "skip_examples": lambda d: f"select reason, t from (select reason, t, row_number() over (partition by reason order by {ln.KEY}) as k from ({d.earliest(f'select * from ({ln.first_pass(d)}) where reason <> {chr(39)}keep{chr(39)}', 'reason, t', ln.KEY)})) where k <= 20",
     "check_all": lambda d: f"select count(*) as n, count(*) filter (where score < 10) as risky, min(score) as min_score, max(score) as max_score from ({readability(d)})",
-    "params_json": lambda d: "select event_id, concat('{\"k\":', " + d.json("props", "$.k") + ", '}') as params from events",
+    "params_json": lambda d: "select event_id, " + d.object_of(k=f"cast({d.json('props', '$.k')} as bigint)", event="event_type") + " as params from events",
     "split_text_head": lambda d: f"select {ln.KEY}, case when length(t) > 40 then concat(substr(t, 1, 40), '…') else t end as head from ({ln.lines(d)})",
 }
