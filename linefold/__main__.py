@@ -2,6 +2,8 @@
 
 ``python -m linefold QUERY --input FOLDER [--output FOLDER] [--format F] [--report FILE] [--gate]``
 
+``python -m linefold TOOL ...`` runs a command over files (:mod:`linefold.tools`).
+
 With ``--gate`` the exit code is 1 where a column ``verdict`` says FAIL or a column
 ``passed`` is false, after the rows were written.
 """
@@ -14,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog
+from . import catalog, tools
 from .sources import files
 
 
@@ -31,6 +33,9 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 
 
 def main(given: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    given = sys.argv[1:] if given is None else given
+    if given and given[0] in tools.TOOLS:
+        return tools.main(given, spark)
     a = arguments(given)
     spark = spark or SparkSession.builder.appName(f"linefold {a.query}").getOrCreate()
     rows = catalog.QUERIES[a.query](spark, a.input)

@@ -286,10 +286,11 @@ def degrade_one(x: Image, profile: str | None, seed: int, row_id: int) -> tuple[
 SCHEMA = "row_id long, profile string, height int, width int, data binary, attempts int, contrast double, score double, risk boolean, clipped boolean"
 
 
-def degrade(images: DataFrame, seed: int = 42) -> DataFrame:
+def degrade(images: DataFrame, seed: int = 42, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every image (row_id, profile, height, width, data) with its degraded pixels and
     their measures.  Rows whose data are null or not height * width bytes come back
-    with null data and as a risk; a batch is held at a time."""
+    with null data and as a risk; a batch is held at a time.  ``keep`` names further
+    columns, texts, that come along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,5 +306,6 @@ def degrade(images: DataFrame, seed: int = 42) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    arrow = pa.schema([("row_id", pa.int64()), ("profile", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("data", pa.binary()), ("attempts", pa.int32()), ("contrast", pa.float64()), ("score", pa.float64()), ("risk", pa.bool_()), ("clipped", pa.bool_())])
-    return images.select("row_id", "profile", "height", "width", "data").mapInArrow(run, SCHEMA)
+    arrow = pa.schema([("row_id", pa.int64()), ("profile", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("data", pa.binary()), ("attempts", pa.int32()), ("contrast", pa.float64()), ("score", pa.float64()), ("risk", pa.bool_()), ("clipped", pa.bool_()), *((k, pa.string()) for k in keep)])
+    more = "".join(f", `{k}` string" for k in keep)
+    return images.select("row_id", "profile", "height", "width", "data", *keep).mapInArrow(run, SCHEMA + more)
