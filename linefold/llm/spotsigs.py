@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions, stable, table
@@ -146,17 +146,40 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def within_reach(a: int, b: int, tau: float) -> bool:
+    """Whether the partitions of two lengths allow a similarity of ``tau``."""
+    return abs(partition_of(a, tau) - partition_of(b, tau)) <= 1
+
+
+def _verified(pairs: DataFrame, own: DataFrame, tau: float) -> DataFrame:
+    """The pairs ``a, b`` of class ids whose whole sets are as similar as ``tau``."""
+    both = pairs.join(own.toDF("a", "fa"), "a").join(own.toDF("b", "fb"), "b").select("a", "b", "fa", "fb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = lambda s: np.frombuffer(bytes.fromhex(s), ">u4")
+        for batch in batches:
+            near = [pruned_jaccard(read(x), read(y), tau) >= tau for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, tau: float = 0.8) -> DataFrame:
     """``doc_id, class_id``: the least doc_id reachable over pairs of fingerprints
     with a Jaccard similarity of ``tau`` or more, for each row.
 
-    Equal fingerprints are one class from the start, so copies make no pairs.  Of
-    each set only its rarest ``n - ceil(tau * n) + 1`` signatures are indexed, under
-    the partition of its length; a set looks into its own partition and the one
-    below.  Pairs are verified on whole sets.  Null texts class with empty ones.
+    Equal fingerprints are one class from the start, so copies make no pairs.  Of each
+    set only its rarest ``n - ceil(tau * n) + 1`` signatures are indexed, in the bucket of
+    the signature and of each of the two pairs of neighbouring partitions that the set's
+    length belongs to.  In a first round the members of a bucket are compared with its
+    least one only, which joins a group of near copies without listing its pairs; in the
+    second, members of a bucket that are in different components yet.  Sets are compared
+    whole.  Null texts class with empty ones; rows without id take the id of their class,
+    null if it has none.
     """
     prints = stable(fingerprints(docs))
     classes = stable(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")).where("rep is not null"))
+    own = classes.select("rep", "fingerprint")
     size = F.length("fingerprint") / 8
     sigs = classes.select("rep", size.cast("int").alias("n"), F.explode(F.expr("transform(sequence(1, length(fingerprint) div 8), i -> substring(fingerprint, 8 * i - 7, 8))")).alias("sig")).where("n > 0")
     rare = sigs.groupBy("sig").agg(F.count("*").alias("df")).where("df > 1")
@@ -165,25 +188,41 @@ def near_duplicates(docs: DataFrame, tau: float = 0.8) -> DataFrame:
     alone = F.col("n") - F.size("s")
     keep = F.greatest(F.lit(0), F.col("n") - F.ceil(F.lit(tau) * F.col("n") - 1e-9).cast("int") + 1 - alone)
     part = F.floor(F.log("n") / -math.log(tau)).cast("int")
-    index = ranked.select("rep", "n", part.alias("part"), F.explode(F.slice("s", 1, keep)).alias("x")).select("rep", "n", "part", "x.sig")
-    a = index.select(F.col("rep").alias("a"), F.col("n").alias("na"), "sig", F.explode(F.array("part", F.col("part") - 1)).alias("part"))
-    b = index.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "sig", "part")
-    pairs = a.join(b, ["part", "sig"]).where((F.col("a") != F.col("b")) & (F.col("nb") <= F.col("na")) & (F.col("nb") >= tau * F.col("na"))).select("a", "b").distinct()
-    own = classes.select("rep", "fingerprint")
-    both = pairs.join(own.toDF("a", "fa"), "a").join(own.toDF("b", "fb"), "b").select("a", "b", "fa", "fb")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = lambda s: np.frombuffer(bytes.fromhex(s), ">u4")
-        for batch in batches:
-            near = [pruned_jaccard(read(x), read(y), tau) >= tau for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    labels = components(both.mapInArrow(verify, "a long, b long"))
+    kept = ranked.select("rep", "n", F.explode(F.array(part, part + 1)).alias("part"), F.slice("s", 1, keep).alias("s"))
+    index = stable(kept.select("rep", "n", "part", F.explode("s").alias("x")).select("part", "x.sig", "rep", "n"))
+    bucket = ["part", "sig"]
+    far = (F.least("na", "nb") >= tau * F.greatest("na", "nb")) & (F.col("a") != F.col("b"))
+    least = index.groupBy(bucket).agg(F.min(F.struct("rep", "n")).alias("m"), F.count("*").alias("k")).where("k > 1").select(*bucket, F.col("m.rep").alias("a"), F.col("m.n").alias("na"))
+    first = index.withColumnsRenamed({"rep": "b", "n": "nb"}).join(least, bucket).where(far).select("a", "b").distinct()
+    linked = stable(_verified(first, own, tau))
+    labels = stable(components(linked))
+    tagged = index.join(labels, F.col("rep") == F.col("node"), "left").select(*bucket, "rep", "n", F.coalesce("component", "rep").alias("part_of"))
+    tagged = stable(tagged)
+    held = tagged.select(*bucket, "part_of").distinct()
+    split = held.groupBy(bucket).agg(F.count("*").alias("k")).where("k > 1").select(*bucket)
+    held = held.join(split, bucket)
+    cross = held.withColumnRenamed("part_of", "pa").join(held.withColumnRenamed("part_of", "pb"), bucket).where("pa < pb")
+    second = cross.join(tagged.toDF(*bucket, "a", "na", "pa"), [*bucket, "pa"]).join(tagged.toDF(*bucket, "b", "nb", "pb"), [*bucket, "pb"]).where(far).select("a", "b").distinct()
+    labels = components(linked.unionAll(_verified(second, own, tau)))
     named = classes.join(labels, F.col("rep") == F.col("node"), "left").select("fingerprint", F.coalesce("component", "rep").alias("class_id"))
     return prints.join(named, "fingerprint", "left").select("doc_id", "class_id")
 
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_part int, edited_is_near boolean, next_is_near boolean"
+#: The similarity from which two texts count as near duplicates.
+TAU = 0.8
+
+
+def _smaller(bounds: list[int], x: Column) -> Column:
+    """How many of the sorted bounds are below ``x``, by stretches of about their root."""
+    step = max(1, math.isqrt(len(bounds)))
+    stretches = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    numbers = lambda ns: F.split(F.lit(",".join(map(str, ns))), ",").cast("array<bigint>")
+    if not bounds:
+        return F.lit(0)
+    whole = F.size(F.filter(numbers([s[-1] for s in stretches]), lambda b: b < x))
+    rest = F.get(F.transform(F.split(F.lit(";".join(",".join(map(str, s)) for s in stretches)), ";"), lambda s: F.split(s, ",").cast("array<bigint>")), whole)
+    return F.least(F.lit(len(bounds)), whole * step + F.coalesce(F.array_size(F.filter(rest, lambda b: b < x)), F.lit(0)))
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
@@ -192,7 +231,9 @@ def with_edited(docs: DataFrame) -> DataFrame:
     The next document is the one before in doc_id, and the last one's next is the
     first; rows without id come last, rows with equal id by falling text.  The edited
     text is the text with its last ``n_chars div 2`` characters replaced by as many of
-    the next one's first.  A null text counts as empty.
+    the next one's first.  A null text counts as empty.  ``length_part`` is the partition
+    of the fingerprint's length; ``edited_is_near`` and ``next_is_near`` say whether the
+    similarity is ``TAU`` or more, by partitions first and then by pruned Jaccard.
 
     The table is cut at ids taken from it, one run of ids for each partition, and each
     partition also gets the head of the run below (the cut itself), so one shuffle
@@ -204,8 +245,7 @@ def with_edited(docs: DataFrame) -> DataFrame:
     cuts = rows.agg(F.percentile_approx("doc_id", [(i + 1) / n for i in range(n)], max(10000, 50 * n)).alias("q"), F.max("doc_id").alias("top")).first()
     top = cuts["top"]
     bounds = sorted({q for q in cuts["q"] or [] if q is not None and q < top}) if top is not None else []
-    sent = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    below = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(sent, lambda b: b < F.col("doc_id"))))
+    below = F.when(F.col("doc_id").isNull(), 0).otherwise(_smaller(bounds, F.col("doc_id")))
     copies = F.array(F.struct(below.alias("run"), F.lit(False).alias("ghost")))
     if bounds:
         copies = F.when(F.col("doc_id").isin(bounds), F.concat(copies, F.array(F.struct((below + 1).alias("run"), F.lit(True).alias("ghost"))))).otherwise(copies)
@@ -215,10 +255,12 @@ def with_edited(docs: DataFrame) -> DataFrame:
     dealt = rows.select("doc_id", "text", F.explode(copies).alias("x")).select("doc_id", "text", "x.*")
     dealt = dealt.repartitionById(len(bounds) + 1, F.col("run")).sortWithinPartitions("wrap", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
 
+    near = lambda a, b: within_reach(len(a), len(b), TAU) and pruned_jaccard(a, b, TAU) >= TAU
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(10)]
             for doc_id, text, ghost in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
                 sig = signatures(text)
                 if held:
@@ -227,10 +269,10 @@ def with_edited(docs: DataFrame) -> DataFrame:
                     edited = own[: len(own) - half] + text[:half]
                     edited_sig = signatures(edited)
                     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                    for c, v in zip(out, (own_id, len(own), sha, as_string(own_sig), as_string(edited_sig), pruned_jaccard(own_sig, edited_sig), pruned_jaccard(own_sig, sig))):
+                    for c, v in zip(out, (own_id, len(own), sha, as_string(own_sig), as_string(edited_sig), pruned_jaccard(own_sig, edited_sig), pruned_jaccard(own_sig, sig), partition_of(len(own_sig), TAU), near(own_sig, edited_sig), near(own_sig, sig))):
                         c.append(v)
                 held = None if ghost else (doc_id, text, sig)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], [f.split()[0] for f in SCHEMA.split(", ")])
 
     return dealt.mapInArrow(run, SCHEMA)

@@ -8,6 +8,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_operators import EDGE, corpus, docs
 
 from linefold.llm import bpe, common, langid, lm, secrets, shards, simhash, spotsigs, warc, wrapper
@@ -35,6 +36,36 @@ def test_spotsigs_with_null_and_repeated_ids(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == sorted(want)
 
 
+def test_bounds_below(spark):
+    rng = random.Random(2)
+    for n in (0, 1, 2, 7, 30):
+        bounds = sorted(rng.sample(range(-50, 50), n))
+        xs = [-60, *range(-51, 52), 60]
+        got = spark.createDataFrame([(x,) for x in xs], "x long").select(spotsigs._smaller(bounds, F.col("x")).alias("n")).collect()
+        assert [r.n for r in got] == [sum(b < x for b in bounds) for x in xs]
+
+
+def test_spotsigs_flags_agree_with_the_measures(spark):
+    texts = corpus(40) + [t + " tail" for t in corpus(40)] + EDGE
+    for r in spotsigs.with_edited(docs(spark, texts)).collect():
+        assert (r.edited_is_near, r.next_is_near) == (r.near_edited >= spotsigs.TAU, r.near_next >= spotsigs.TAU)
+        assert r.length_part == spotsigs.partition_of(len(r.fingerprint) // 8, spotsigs.TAU)
+
+
+def test_spotsigs_large_group_of_near_copies(spark):
+    rng = random.Random(12)
+    base = [f"the word{i} thing{i}" for i in range(60)]
+    texts = corpus(20) + [" ".join([*base[:k], f"the odd{k} item{k}", *base[k + 1 :]]) for k in (rng.randrange(60) for _ in range(150))] + [" ".join(base[:30] + [f"the far{j} away{j}" for j in range(30)])]
+    sets = [set(spotsigs.signatures(t).tolist()) for t in texts]
+    label = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if label[i] != label[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label = [new if x == old else x for x in label]
+    assert [r[1] for r in spotsigs.near_duplicates(docs(spark, texts)).orderBy("doc_id").collect()] == label
+    assert len(set(label[20:170])) == 1 and label[170] == 170
+
+
 def test_language_by_brute_force(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_documents(table)
