@@ -105,16 +105,16 @@ def top_up(d, pool: str, target: str, order: str = "42") -> str:
     return f"select line_id, domain, cast(({target} - k - ({target} - k) % n) / n as bigint) + 1 as times from ({ranked}) where k <= {target}"
 
 
-# Where the body of a file begins and ends.  ``start``: markers of the first
+# Where the body of a file begins and ends, by kind of book.  ``start``: markers of the first
 # line, ``before``: lines kept before it, ``title``: a line up to five before it that is
 # kept too, ``after``: markers that must come first, ``otherwise``: the least line number
 # where these are absent; ``end``: markers of the last line, ``last``: whether the last
 # such line counts and stays, else the first one more than a thousand lines on, which goes.
 BODIES = {
-    "bhasha_vamshavali_1.txt": {"start": ["श्रीणणेशाय नमः", "श्रीगणेशाय नमः"], "title": "भाषावंशावली"},
-    "nepali_sanskriti_vishayak_agralekhharu.txt": {"start": ["डा. जगदीश चन्द्र रेग्मी"], "before": 3, "end": ["धन्यवाद ज्ञापन गर्दछु"], "last": True},
-    "devmala_vamshavali.txt": {"start": ["नमो गोरङ्गकालीम्याम्‌"], "end": ["समाप्त भयो"], "last": True},
-    "nepal_ko_itihas_peshal_dahal.txt": {
+    "chronicle": {"start": ["श्रीणणेशाय नमः", "श्रीगणेशाय नमः"], "title": "भाषावंशावली"},
+    "essays": {"start": ["डा. जगदीश चन्द्र रेग्मी"], "before": 3, "end": ["धन्यवाद ज्ञापन गर्दछु"], "last": True},
+    "genealogy": {"start": ["नमो गोरङ्गकालीम्याम्‌"], "end": ["समाप्त भयो"], "last": True},
+    "history": {
         "start": ["नेपालको इतिहासका स्रोतहरू", "नेपालको इतिहास"], "after": ["सहायक ग्रन्थस्‌ची", "सहायक ग्रन्थसूची"], "otherwise": ("नेपालको इतिहासका स्रोतहरू", 100), "end": ["सहायक ग्रन्थ", "सहायक ग्रन्थहरूको सूची", "सहायक ग्रन्थहरूको स्‌ची"],
     },
 }
@@ -123,12 +123,12 @@ FIXTURE_BODIES = {"0": {"start": ["क"], "title": "ज"}, "1": {"start": ["क"
 
 
 def body_ranges(d, source: str, bodies: dict) -> str:
-    """The body of each file, [start_at, end_at), from rows (doc_id, file, line_no, t).
+    """The body of each file, [start_at, end_at), from rows (doc_id, kind, line_no, t).
 
-    A file without a rule, or without the markers, is kept whole.
+    A file of another kind, or without the markers, is kept whole.
     """
     has = lambda words: "(" + (" or ".join(f"contains(t, '{w}')" for w in words) or "1 = 0") + ")"
-    pick = lambda of: "case file " + " ".join(f"when '{f}' then {of(r)}" for f, r in bodies.items()) + " end"
+    pick = lambda of: "case kind " + " ".join(f"when '{f}' then {of(r)}" for f, r in bodies.items()) + " end"
     first = lambda c: f"min(case when {c} then line_no end) over (partition by doc_id)"
     plain, toc = lambda r: "after" not in r, lambda r: "after" in r
     a = f"""select *, max(line_no) over (partition by doc_id) + 1 as n, {first(pick(lambda r: has(r['start']) if plain(r) else '1 = 0'))} as found,
@@ -138,12 +138,12 @@ def body_ranges(d, source: str, bodies: dict) -> str:
     start = f"coalesce(title, case when found is not null then greatest(0, found - ({pick(lambda r: r.get('before', 0))})) end, case when toc is null then otherwise else next end, 0)"
     c = f"select *, {start} as start_at from ({b})"
     ends = lambda last: pick(lambda r: has(r.get("end", [])) if bool(r.get("last")) == last else "1 = 0")
-    return f"""select doc_id, file, min(start_at) as start_at, coalesce(max(case when line_no > start_at and ({ends(True)}) then line_no end) + 1,
-      min(case when line_no > start_at + 1000 and ({ends(False)}) then line_no end), max(n)) as end_at from ({c}) group by doc_id, file"""
+    return f"""select doc_id, kind, min(start_at) as start_at, coalesce(max(case when line_no > start_at and ({ends(True)}) then line_no end) + 1,
+      min(case when line_no > start_at + 1000 and ({ends(False)}) then line_no end), max(n)) as end_at from ({c}) group by doc_id, kind"""
 
 
 def fixture_files(d) -> str:
-    return f"select doc_id, cast(doc_id % 4 as varchar(1)) as file, line_no, t from ({ln.lines(d)}) where piece_no = 0"
+    return f"select doc_id, cast(doc_id % 4 as varchar(1)) as kind, line_no, t from ({ln.lines(d)}) where piece_no = 0"
 
 
 WORKERS = 8

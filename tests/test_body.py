@@ -7,19 +7,19 @@ from linefold.functions.dialect import Spark
 from linefold.plans import lines, rules
 
 SF = "/root/testdata/sf0.001"
-VAMSHAVALI, AGRALEKH, DEVMALA, ITIHAS = rules.BODIES
+CHRONICLE, ESSAYS, GENEALOGY, HISTORY = rules.BODIES
 
 
 @pytest.mark.parametrize(
-    "file, marked, n, body",
-    [(VAMSHAVALI, {10: "x श्रीगणेशाय नमः"}, 20, (10, 20)), (VAMSHAVALI, {10: "श्रीणणेशाय नमः", 7: "भाषावंशावली", 6: "भाषावंशावली", 3: "भाषावंशावली"}, 20, (6, 20)), (VAMSHAVALI, {}, 20, (0, 20)),
-     (AGRALEKH, {2: "डा. जगदीश चन्द्र रेग्मी", 15: "धन्यवाद ज्ञापन गर्दछु", 17: "धन्यवाद ज्ञापन गर्दछु"}, 20, (0, 18)), (AGRALEKH, {9: "डा. जगदीश चन्द्र रेग्मी", 4: "धन्यवाद ज्ञापन गर्दछु"}, 20, (6, 20)),
-     (DEVMALA, {5: "नमो गोरङ्गकालीम्याम्‌ ॥", 5 + 1: "समाप्त भयो"}, 20, (5, 7)), (DEVMALA, {5: "समाप्त भयो"}, 20, (0, 6)),
-     (ITIHAS, {3: "नेपालको इतिहास", 5: "सहायक ग्रन्थसूची", 8: "नेपालको इतिहास", 1008: "सहायक ग्रन्थ", 1009: "सहायक ग्रन्थ", 1015: "सहायक ग्रन्थ"}, 1020, (8, 1009)),
-     (ITIHAS, {50: "नेपालको इतिहासका स्रोतहरू", 120: "नेपालको इतिहासका स्रोतहरू"}, 200, (120, 200)), (ITIHAS, {5: "सहायक ग्रन्थसूची"}, 20, (0, 20)), ("another.txt", {5: "समाप्त भयो"}, 20, (0, 20))],
+    "kind, marked, n, body",
+    [(CHRONICLE, {10: "x श्रीगणेशाय नमः"}, 20, (10, 20)), (CHRONICLE, {10: "श्रीणणेशाय नमः", 7: "भाषावंशावली", 6: "भाषावंशावली", 3: "भाषावंशावली"}, 20, (6, 20)), (CHRONICLE, {}, 20, (0, 20)),
+     (ESSAYS, {2: "डा. जगदीश चन्द्र रेग्मी", 15: "धन्यवाद ज्ञापन गर्दछु", 17: "धन्यवाद ज्ञापन गर्दछु"}, 20, (0, 18)), (ESSAYS, {9: "डा. जगदीश चन्द्र रेग्मी", 4: "धन्यवाद ज्ञापन गर्दछु"}, 20, (6, 20)),
+     (GENEALOGY, {5: "नमो गोरङ्गकालीम्याम्‌ ॥", 5 + 1: "समाप्त भयो"}, 20, (5, 7)), (GENEALOGY, {5: "समाप्त भयो"}, 20, (0, 6)),
+     (HISTORY, {3: "नेपालको इतिहास", 5: "सहायक ग्रन्थसूची", 8: "नेपालको इतिहास", 1008: "सहायक ग्रन्थ", 1009: "सहायक ग्रन्थ", 1015: "सहायक ग्रन्थ"}, 1020, (8, 1009)),
+     (HISTORY, {50: "नेपालको इतिहासका स्रोतहरू", 120: "नेपालको इतिहासका स्रोतहरू"}, 200, (120, 200)), (HISTORY, {5: "सहायक ग्रन्थसूची"}, 20, (0, 20)), ("another", {5: "समाप्त भयो"}, 20, (0, 20))],
 )
-def test_bodies(spark, file, marked, n, body):
-    spark.createDataFrame([(1, file, i, marked.get(i, "line")) for i in range(n)], "doc_id long, file string, line_no int, t string").createOrReplaceTempView("given")
+def test_bodies(spark, kind, marked, n, body):
+    spark.createDataFrame([(1, kind, i, marked.get(i, "line")) for i in range(n)], "doc_id long, kind string, line_no int, t string").createOrReplaceTempView("given")
     got = spark.sql(rules.body_ranges(Spark, "select * from given", rules.BODIES)).collect()
     assert [(r.start_at, r.end_at) for r in got] == [body]
 
