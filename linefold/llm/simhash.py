@@ -12,6 +12,11 @@ listed.  Members of a shared bucket are confirmed through midpoints instead: two
 fingerprints lie within two bits exactly if some word is within one bit of both.
 Every member therefore sends itself and its one-bit flips (only bits that the
 bucket leaves free), and each midpoint has at most 65 distinct members.
+
+Texts with few edits differ in more bits than that.  ``near_copies`` therefore looks
+for pairs within ``WIDE_RADIUS`` bits of a second fingerprint, of ``WIDE_SHINGLE``-word
+shingles, by a covering family of half-width masks, and links those whose whole sets of
+``CONFIRM_SHINGLE``-word shingles have a Jaccard similarity of ``TAU`` or more.
 """
 
 from __future__ import annotations
@@ -26,6 +31,9 @@ from .common import lower_words, map_arrow, measured, stable, table
 from .components import components
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
+WIDE_RADIUS, WIDE_SHINGLE, CONFIRM_SHINGLE, TAU = 6, 2, 5, 0.8
+#: Pairs of one text that are compared in one task.
+SHARE = 1000
 
 
 def masks() -> list[int]:
@@ -38,22 +46,38 @@ def masks() -> list[int]:
     return out
 
 
-def fingerprint(text: str | None) -> int:
-    """The unsigned SimHash of a text's 3-word shingles, repeats included.
+def wide_masks() -> list[int]:
+    """Masks of a covering family for ``WIDE_RADIUS``, signed, of 32 bits each.
 
-    Fewer words: the whole sequence is the one shingle; null, empty or blank: 0.
+    Bit ``i`` carries the vector ``(1, i mod 2**WIDE_RADIUS)``, so that table ``(c, u)``
+    keeps the bits with ``<i, u> = c + 1`` and every mask but the full one halves the word.
     """
-    words = lower_words(text)
-    if not words:
-        return 0
+    ones = 1 << WIDE_RADIUS
+    out = [sum(1 << i for i in range(BITS) if bin((ones | i % ones) & t).count("1") % 2) for t in range(1, 2 * ones) if t != ones]
+    return [m - (1 << 64) if m >> 63 else m for m in out]
+
+
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; fewer words are one shingle."""
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    k = min(SHINGLE, len(words))
+    k = min(width, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [digest(line[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())], dtype="<u8"
     )
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """The unsigned SimHash of a text's shingles (3 words), repeats included.
+
+    Fewer words: the whole sequence is the one shingle; null, empty or blank: 0.
+    """
+    words = lower_words(text)
+    if not words:
+        return 0
+    hashes = shingle_hashes(words, width)
     votes = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 16384):  # bounded memory for very long texts
         bits = np.unpackbits(hashes[at : at + 16384].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -91,9 +115,84 @@ def links(words: DataFrame) -> DataFrame:
     return met.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).where("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def similarity(a: str | None, b: str | None) -> float:
+    """Jaccard similarity of the sets of 5-word shingles; without words on either side 0."""
+    x, y = (np.unique(shingle_hashes(w, CONFIRM_SHINGLE)) if (w := lower_words(t)) else np.zeros(0, "<u8") for t in (a, b))
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return same / max(1, len(x) + len(y) - same)
+
+
+def _beside(pairs: DataFrame, texts: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with the text of one side; a text of very many pairs goes out in as many
+    copies as it has thousands of them, so that no task gets all its pairs."""
+    shares = pairs.groupBy(side).agg(F.ceil(F.count("*") / SHARE).alias("shares"))
+    other = "b" if side == "a" else "a"
+    dealt = pairs.join(shares, side).withColumn("share", F.pmod(F.xxhash64(other), "shares"))
+    copies = texts.select(F.col("h").alias(side), F.col("text").alias(f"t{side}")).join(shares, side).withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    return dealt.drop("shares").join(copies.drop("shares"), [side, "share"]).drop("share")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of text keys that are similar enough."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        near = [similarity(x, y) >= TAU for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        return batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    both = _beside(_beside(pairs, texts, "a"), texts, "b")
+    return map_arrow(both.select("a", "b", "ta", "tb"), run, "a long, b long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` between doc_ids, enough to connect all texts that are within
+    ``WIDE_RADIUS`` bits of each other and similar by ``TAU``.
+
+    Equal texts (by 64 bits of a digest) are one node, that of their least doc_id; texts
+    without words and nodes without id have no edge.  Members of a bucket are compared
+    with its least one first, which joins a group of near copies without listing its
+    pairs; then those that are in different components yet, in buckets of three or more.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        wide = [np.uint64(fingerprint(t, WIDE_SHINGLE)).view(np.int64).item() if t.strip(" \t\n\r\x0b\x0c") else None for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(wide, pa.int64())], ["doc_id", "h", "wide"])
+
+    prints = map_arrow(docs.where("text is not null and doc_id is not null").withColumn("h", key), run, "doc_id long, h long, wide long")
+    nodes = stable(prints.where("wide is not null").groupBy("h", "wide").agg(F.min("doc_id").alias("rep")))
+    tables = F.explode(F.array(*[F.xxhash64(F.lit(t), F.col("wide").bitwiseAND(F.lit(m))) for t, m in enumerate(wide_masks())]))
+    keyed = nodes.select("h", "wide", tables.alias("key"))
+    shared = stable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = stable(keyed.join(measured(shared, 16), "key"))
+    close = (F.bit_count(F.col("wa").bitwiseXOR(F.col("wb"))) <= WIDE_RADIUS) & (F.col("a") != F.col("b"))
+    least = members.groupBy("key").agg(F.min(F.struct("h", "wide")).alias("m")).select("key", F.col("m.h").alias("a"), F.col("m.wide").alias("wa"))
+    first = stable(members.select("key", F.col("h").alias("b"), F.col("wide").alias("wb")).join(least, "key").where(close).select("a", "b").distinct())
+
+    def texts(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(nodes, "h")
+        ids = stable(ids.select(F.col("h").alias("_h"), F.col("rep").alias("_rep")))
+        own = docs.join(measured(ids, 32), (F.col("doc_id") == F.col("_rep")) & (key == F.col("_h")))
+        return stable(own.select(F.col("_h").alias("h"), "text").dropDuplicates(["h"]))
+
+    linked = stable(_confirmed(first, texts(first)))
+    labels = components(linked)
+    more = members.where("n > 2").join(labels, F.col("h") == F.col("node"), "left").select("key", "h", "wide", F.coalesce("component", "h").alias("part"))
+    held = more.select("key", "part").distinct()
+    several = held.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    more = stable(more.join(several, "key"))
+    cross = more.toDF("key", "a", "wa", "pa").join(more.toDF("key", "b", "wb", "pb"), "key").where(close & (F.col("pa") < F.col("pb")))
+    second = stable(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
+    both = linked.unionAll(_confirmed(second, texts(second)))
+    at = lambda side: nodes.select(F.col("h").alias(side), F.col("rep").alias(f"r{side}"))
+    return both.join(at("a"), "a").join(at("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, copies: bool = False) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, fp, component_id)``, a row per row.
 
+    With ``copies`` the links of ``near_copies`` count beside those of fingerprints.
+
     ``component_id`` is the least doc_id reachable over links.  Rows with equal
     fingerprints (copies; all texts without words, null texts too) are one node
     whose id is their least doc_id; null ids take part only if the whole component
@@ -101,18 +200,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = stable(fingerprints(docs))
     words = stable(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    labels = components(links(words.where("rep is not null")))
+    edges = links(words.where("rep is not null"))
+    if copies:
+        own = words.where("rep is not null").select("fp", "rep")
+        ids = prints.join(own, "fp").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        found = stable(near_copies(docs))
+        ids = ids.join(measured(stable(found.select(F.explode(F.array("a", "b")).alias("a")).distinct()), 16), "a", "left_semi")
+        edges = edges.unionAll(found).unionAll(ids)
+    labels = components(edges)
     named = words.join(labels, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, copies: bool = False) -> DataFrame:
     """One document of each component (that with the least id) with all columns.
 
+    With ``copies`` the links of ``near_copies`` count beside those of fingerprints.
+
     A document is its doc_id: it goes if none of its rows leads a component, and of
     rows that repeat an id one stays.  Rows without id stay, as no id leads them.
     """
-    found = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.expr("doc_id = component_id")).alias("leads"))
+    found = near_duplicates(docs, copies).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.expr("doc_id = component_id")).alias("leads"))
     odd = stable(found.where("n > 1 or not leads").select(F.col("doc_id").alias("_odd_id"), "leads"))
     on = docs["doc_id"].cast("long") == F.col("_odd_id")
     out = docs.join(measured(odd, 32), on, "left_anti")

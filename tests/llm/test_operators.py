@@ -147,6 +147,79 @@ def test_simhash(spark):
     assert simhash.near_duplicates(table.limit(0)).count() == 0
 
 
+def linked(texts):
+    """Pairs of places whose texts are near copies, from words and sets alone."""
+    def parts(t, k):
+        w = (t or "").encode().lower().split()
+        return [b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+
+    def wide(t):
+        h = [xxhash.xxh64_intdigest(x, 42) for x in parts(t, 2)]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    prints, sets = [wide(t) for t in texts], [set(parts(t, 5)) for t in texts]
+    near = lambda i, j: bin(prints[i] ^ prints[j]).count("1") <= 6 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    return [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if sets[i] and sets[j] and near(i, j)]
+
+
+def groups(n, pairs):
+    part = list(range(n))
+    for i, j in pairs:
+        old, new = max(part[i], part[j]), min(part[i], part[j])
+        part = [new if x == old else x for x in part]
+    return part
+
+
+def test_wide_family_covers_its_radius():
+    m = [x & (1 << 64) - 1 for x in simhash.wide_masks()]
+    assert len(m) == 126 and {bin(x).count("1") for x in m} == {32}
+    rng = random.Random(8)
+    for _ in range(20000):
+        bits = sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6)))
+        assert any(not x & bits for x in m)
+
+
+@pytest.mark.parametrize("share", [1000, 3])
+def test_near_copies(spark, monkeypatch, share):
+    monkeypatch.setattr(simhash, "SHARE", share)
+    rng = random.Random(9)
+    base = [t for t in corpus(60, 12) if len(t.split()) > 60]
+    texts = base + base[:5] + EDGE + [None, "WORD", " \n"]
+    for t in base[:12]:
+        for k in (1, 1, 2, 3, 6):
+            w = t.split()
+            for at in rng.sample(range(len(w)), k):
+                w[at] = "edit%d" % rng.randrange(99)
+            texts.append(" ".join(w))
+    chain = base[-1].split()
+    for at in range(0, 40, 2):  # each like the one before, the ends unlike
+        chain = chain[:]
+        chain[at] = "step%d" % at
+        texts.append(" ".join(chain))
+    pairs = linked(texts)
+    assert any(linked([texts[i], texts[j]]) and simhash.fingerprint(texts[i]) != simhash.fingerprint(texts[j]) for i, j in pairs)
+    table = docs(spark, texts)
+    found = groups(len(texts), [(r.a, r.b) for r in simhash.near_copies(table).collect()])
+    first = {}
+    same = [(first.setdefault(t, i), i) for i, t in enumerate(texts)]
+    assert groups(len(texts), same + [(i, p) for i, p in enumerate(found)]) == groups(len(texts), same + pairs)
+    close = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if bin(simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[j])).count("1") <= 2]
+    kept = {r.doc_id for r in simhash.keep_one(table, True).collect()}
+    assert kept == {i for i, p in enumerate(groups(len(texts), close + pairs)) if p == i}
+
+
+def test_near_copies_of_odd_rows(spark):
+    t = " ".join(f"w{i}" for i in range(80))
+    near = t.replace("w40", "other")
+    rows = [(None, t), (7, near), (7, near), (9, near), (None, None), (3, None), (3, "a b c d")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.near_copies(table).count() == 0  # the text t has no id
+    assert sorted(r.doc_id for r in simhash.keep_one(table, True).where("doc_id is not null").collect()) == [3, 7]
+    table = spark.createDataFrame(rows + [(5, t)], "doc_id long, text string")
+    assert [sorted(r) for r in simhash.near_copies(table).collect()] == [[5, 7]]
+    assert simhash.near_copies(table.limit(0)).count() == 0
+
+
 def test_decontamination(spark, monkeypatch):
     base = corpus(30, 9)
     items = [(1, " ".join(base[0].split()[:20])), (2, "Short Item"), (10, base[1]), (3, None), (4, ""), (None, "x"), (1, " ".join(base[0].split()[:20]))]

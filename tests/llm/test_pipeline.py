@@ -6,7 +6,7 @@ import re
 
 import pytest
 import tiktoken
-from test_operators import corpus
+from test_operators import corpus, linked
 
 import corpus_pipeline
 from linefold.llm import bpe, langid, simhash
@@ -37,8 +37,10 @@ def test_pipeline(spark, tmp_path):
     assert not {130, 131, 132} & set(kept) and len(kept) > 120
     prints = {i: simhash.fingerprint(t) for i, t in kept.items()}
     part = {i: i for i in kept}
-    for i, j in itertools.combinations(kept, 2):
-        if bin(prints[i] ^ prints[j]).count("1") <= 2 and part[i] != part[j]:
+    order = sorted(kept)
+    near = {(order[i], order[j]) for i, j in linked([kept[i] for i in order])}
+    for i, j in itertools.combinations(order, 2):
+        if (bin(prints[i] ^ prints[j]).count("1") <= 2 or (i, j) in near) and part[i] != part[j]:
             old, new = max(part[i], part[j]), min(part[i], part[j])
             part = {k: new if p == old else p for k, p in part.items()}
     kept = {i: t for i, t in kept.items() if part[i] == i}
