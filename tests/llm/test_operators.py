@@ -210,7 +210,7 @@ def test_near_copies(spark, monkeypatch, share):
 
 def test_near_copies_of_odd_rows(spark):
     t = " ".join(f"w{i}" for i in range(80))
-    near = t.replace("w40", "other")
+    near = t.replace("w50", "other")  # three bits away
     rows = [(None, t), (7, near), (7, near), (9, near), (None, None), (3, None), (3, "a b c d")]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     assert simhash.near_copies(table).count() == 0  # the text t has no id
