@@ -148,9 +148,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     ``WIDE_RADIUS`` bits of each other and similar by ``TAU``.
 
     Equal texts (by 64 bits of a digest) are one node, that of their least doc_id; texts
-    without words and nodes without id have no edge.  Members of a bucket are compared
-    with its least one first, which joins a group of near copies without listing its
-    pairs; then those that are in different components yet, in buckets of three or more.
+    without words and nodes without id have no edge.  Each is compared first
+    with the least of the least members of its buckets, which joins most of a group of near
+    copies by one pair a text; then with the least of each bucket, if that is in another
+    component yet; then all that are still apart in a bucket of three or more.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     key = F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
@@ -162,12 +163,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
     prints = map_arrow(docs.where("text is not null and doc_id is not null").withColumn("h", key), run, "doc_id long, h long, wide long")
     nodes = stable(prints.where("wide is not null").groupBy("h", "wide").agg(F.min("doc_id").alias("rep")))
     tables = F.explode(F.array(*[F.xxhash64(F.lit(t), F.col("wide").bitwiseAND(F.lit(m))) for t, m in enumerate(wide_masks())]))
-    keyed = nodes.select("h", "wide", tables.alias("key"))
-    shared = stable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    members = stable(keyed.join(measured(shared, 16), "key"))
     close = (F.bit_count(F.col("wa").bitwiseXOR(F.col("wb"))) <= WIDE_RADIUS) & (F.col("a") != F.col("b"))
-    least = members.groupBy("key").agg(F.min(F.struct("h", "wide")).alias("m")).select("key", F.col("m.h").alias("a"), F.col("m.wide").alias("wa"))
-    first = stable(members.select("key", F.col("h").alias("b"), F.col("wide").alias("wb")).join(least, "key").where(close).select("a", "b").distinct())
+    at = lambda side, source, *more: source.select(F.col("h").alias(side), *[F.col(c).alias(c[0] + side) for c in more])
+    member = lambda source: source.withColumn("key", tables)
+
+    def parted(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The nodes with their component so far, and the buckets that hold several."""
+        labels = components(linked)
+        own = stable(nodes.join(labels, F.col("h") == F.col("node"), "left").select("h", "wide", F.coalesce("component", "h").alias("part")))
+        buckets = member(own).groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("a"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        return own, stable(buckets.where("lo < hi").select("key", "n", "a"))
 
     def texts(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(nodes, "h")
@@ -175,17 +180,25 @@ def near_copies(docs: DataFrame) -> DataFrame:
         own = docs.join(measured(ids, 32), (F.col("doc_id") == F.col("_rep")) & (key == F.col("_h")))
         return stable(own.select(F.col("_h").alias("h"), "text").dropDuplicates(["h"]))
 
-    linked = stable(_confirmed(first, texts(first)))
-    labels = components(linked)
-    more = members.where("n > 2").join(labels, F.col("h") == F.col("node"), "left").select("key", "h", "wide", F.coalesce("component", "h").alias("part"))
-    held = more.select("key", "part").distinct()
-    several = held.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    more = stable(more.join(several, "key"))
-    cross = more.toDF("key", "a", "wa", "pa").join(more.toDF("key", "b", "wb", "pb"), "key").where(close & (F.col("pa") < F.col("pb")))
-    second = stable(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
-    both = linked.unionAll(_confirmed(second, texts(second)))
-    at = lambda side: nodes.select(F.col("h").alias(side), F.col("rep").alias(f"r{side}"))
-    return both.join(at("a"), "a").join(at("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    shared = stable(member(nodes).groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("a")).where("n > 1").select("key", "a"))
+    one = member(nodes).join(measured(shared, 16), "key").groupBy(F.col("h").alias("b"), F.col("wide").alias("wb")).agg(F.min("a").alias("a"))
+    pairs = stable(one.join(at("a", nodes, "wide"), "a").where(close).select("a", "b"))
+    linked = stable(_confirmed(pairs, texts(pairs)))
+
+    own, split = parted(linked)
+    split = stable(split.join(at("a", own, "wide", "part"), "a").select("key", "a", "wa", "pa"))
+    found = member(own.toDF("b", "wb", "pb").withColumn("wide", F.col("wb"))).join(measured(split, 32), "key").where(close & (F.col("pa") != F.col("pb")))
+    pairs = stable(found.select("a", "b").distinct())
+    linked = stable(linked.unionAll(_confirmed(pairs, texts(pairs))))
+
+    own, split = parted(linked)
+    split = measured(stable(split.where("n > 2").select("key")), 8)
+    held = member(own).join(split, "key")
+    cross = held.toDF("key", "a", "wa", "pa").join(held.toDF("key", "b", "wb", "pb"), "key").where(close & (F.col("pa") < F.col("pb")))
+    pairs = stable(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    both = linked.unionAll(_confirmed(pairs, texts(pairs)))
+    ids = lambda side: nodes.select(F.col("h").alias(side), F.col("rep").alias(f"r{side}"))
+    return both.join(ids("a"), "a").join(ids("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, copies: bool = False) -> DataFrame:
