@@ -21,6 +21,8 @@ shingles, by a covering family of half-width masks, and links those whose whole
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -89,7 +91,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp long)`` for every row; ``fp`` holds the 64 bits, signed."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+        fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, fp long")
@@ -136,7 +138,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of text keys that are similar enough."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        near = [similarity(x, y) >= TAU for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        near = [similarity(x.as_py(), y.as_py()) >= TAU for x, y in zip(batch.column(2), batch.column(3))]
         return batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     both = _beside(_beside(pairs, texts, "a"), texts, "b")
@@ -201,10 +203,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return both.join(ids("a"), "a").join(ids("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, copies: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, copies: bool | Callable[[DataFrame], DataFrame] = False) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, fp, component_id)``, a row per row.
 
-    With ``copies`` the links of ``near_copies`` count beside those of fingerprints.
+    With ``copies`` the links of ``near_copies``, or of the function given, count beside
+    those of fingerprints.
 
     ``component_id`` is the least doc_id reachable over links.  Rows with equal
     fingerprints (copies; all texts without words, null texts too) are one node
@@ -217,7 +220,7 @@ def near_duplicates(docs: DataFrame, copies: bool = False) -> DataFrame:
     if copies:
         own = words.where("rep is not null").select("fp", "rep")
         ids = prints.join(own, "fp").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-        found = stable(near_copies(docs))
+        found = stable((copies if callable(copies) else near_copies)(docs))
         ids = ids.join(measured(stable(found.select(F.explode(F.array("a", "b")).alias("a")).distinct()), 16), "a", "left_semi")
         edges = edges.unionAll(found).unionAll(ids)
     labels = components(edges)
@@ -225,10 +228,10 @@ def near_duplicates(docs: DataFrame, copies: bool = False) -> DataFrame:
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, copies: bool = False) -> DataFrame:
+def keep_one(docs: DataFrame, copies: bool | Callable[[DataFrame], DataFrame] = False) -> DataFrame:
     """One document of each component (that with the least id) with all columns.
 
-    With ``copies`` the links of ``near_copies`` count beside those of fingerprints.
+    ``copies`` is that of ``near_duplicates``.
 
     A document is its doc_id: it goes if none of its rows leads a component, and of
     rows that repeat an id one stays.  Rows without id stay, as no id leads them.

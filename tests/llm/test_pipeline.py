@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import random
 import re
 
 import pytest
@@ -9,7 +10,7 @@ import tiktoken
 from test_operators import corpus
 
 import corpus_pipeline
-from linefold.llm import bpe, langid, simhash
+from linefold.llm import bpe, langid, setjoin, simhash
 
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -74,3 +75,39 @@ def test_stages_keep_columns_and_clashing_names(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs, sf)
         assert kept.columns == docs.columns and {r[5:] for r in kept.collect()} == {(1, 2, 3, 4, 5, 6, 7)}, name
+
+
+@pytest.mark.parametrize("few, held", [(4, 1 << 20), (1, 0)])
+def test_near_duplicates_stage_links_all_similar_texts(spark, monkeypatch, few, held):
+    """One row of each component of all pairs at two bits or a five-word Jaccard of 0.8."""
+    monkeypatch.setattr(setjoin, "FEW", few)
+    monkeypatch.setattr(setjoin, "HELD_BYTES", held)
+    monkeypatch.setattr(setjoin, "BLOCK", 3)
+    rng = random.Random(5)
+    base = [t for t in corpus(60, 12) if len(t.split()) > 60]
+    texts = base + base[:3] + ["Twice THE same words here", "twice the  same words here", "a b c d e f g", "a b c d e f", None, "", "one"]
+    for t in base[:8]:  # a group each, of which some are alike and some are not
+        for k in (1, 1, 2, 2, 3, 4) * 2:
+            w = t.split()
+            for at in rng.sample(range(len(w)), k):
+                w[at] = "edit%d" % rng.randrange(99)
+            texts.append(" ".join(w))
+    chain = base[-1].split()
+    for at in range(0, 40, 2):  # each like the one before, the ends unlike
+        chain = chain[:]
+        chain[at] = "step%d" % at
+        texts.append(" ".join(chain))
+    parts = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    sets, prints = [parts((t or "").lower().split()) for t in texts], [simhash.fingerprint(t) for t in texts]
+    alike = lambda i, j: sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    pairs = list(itertools.combinations(range(len(texts)), 2))
+    wide = [(i, j) for i, j in pairs if bin(prints[i] ^ prints[j]).count("1") > 2 and alike(i, j)]
+    assert len(wide) > 50
+    part = list(range(len(texts)))
+    for i, j in pairs:
+        if part[i] != part[j] and (bin(prints[i] ^ prints[j]).count("1") <= 2 or alike(i, j)):
+            old, new = max(part[i], part[j]), min(part[i], part[j])
+            part = [new if p == old else p for p in part]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect()}
+    assert kept == {i for i, p in enumerate(part) if p == i}
