@@ -1,7 +1,7 @@
 """Main-text extraction by wrapper induction.
 
-A few pages of each host are parsed to DOM trees and aligned by simple tree
-matching.  Nodes that stay the same from page to page become template; the places
+All pages of a host are parsed to DOM trees and aligned with its middle one by simple
+tree matching.  Nodes that stay the same from page to page become template; the places
 whose text varies are slots.  The wrapper of a host is the path of the element that
 holds most of the varying text outside boilerplate; every page of the host is then
 read through it.  Pages without a wrapper, or on which its path is missing, are read
@@ -10,11 +10,12 @@ by the same rule from their own tree alone.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html as html_module
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import measured, stable, table
 
-#: Pages of a host from which its wrapper is induced, on average.
-SAMPLE = 8
+#: Tenths of a host's different pages on which a constant block stands, and the least of them.
+TENTHS, LEAST = 9, 3
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noframes", "xmp"}
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
@@ -58,7 +59,7 @@ class Node:
     parent: Node | None = None
     children: list = field(default_factory=list)  # of Node and str
     spared: bool = False  # whatever its class words are
-    constant: bool = False  # the same text on all sampled pages of the host
+    constant: bool = False  # the same text on nearly all pages of the host
 
     def signature(self) -> str:
         return f"{self.tag}.{self.label}" if self.label else self.tag
@@ -297,39 +298,37 @@ def _trace(a: tuple, b: tuple, path: str, same: dict[str, list[int]], memo: dict
             j -= 1
 
 
-def _different(pages: list[str | None]) -> list[str]:
-    """Different pages in order of length, at most ``2 * SAMPLE`` by a digest, so that a
-    draw that came out large costs no more and prefers no kind of page."""
-    picked = sorted({p for p in pages if p}, key=lambda p: hashlib.md5(p.encode("utf-8", "surrogatepass")).digest())[: 2 * SAMPLE]
-    return sorted(picked, key=lambda p: (len(p), p))
+def _mark(page: str) -> str:
+    return hashlib.md5(page.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def induce(pages: list[str | None]) -> str | None:
-    """The wrapper of pages of one host: the path of its content element.
+def _middle(pages: list[str]) -> str:
+    """Of different pages the one of (lower) median length with the least digest."""
+    size = sorted(map(len, pages))[(len(pages) - 1) // 2]
+    return min((p for p in pages if len(p) == size), key=_mark)
 
-    Varying text of matched slots is credited to the parents of the slots' blocks;
-    <article> and <main> win over others that are not within them.  None if no text
-    varies (a lone page, or copies of one page).
-    """
-    trees = _different(pages)
-    if len(trees) < 2:
-        return None
-    roots = [spare(parse(t)) for t in trees]
+
+def _tree(page: str) -> tuple:
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 1 << 20))  # the depth of a page is its own
-    folded = [_folded(r) for r in roots]
+    return _folded(spare(parse(page)))
+
+
+def credits(middle: tuple, page: str) -> dict[str, int]:
+    """Characters of varying text of the slots that a page's tree shares with that of the
+    middle page, by the path of their parent."""
     same: dict[str, list[int]] = {}
-    middle = folded[len(folded) // 2]
-    for other in folded:
-        if other is not middle:
-            match(middle, other, "", same)
-    ok = {path for r in roots for path, _ in _paths(r)}
+    match(middle, _tree(page), "", same)
     credit: dict[str, int] = {}
     for path, (_, varying) in same.items():
-        if varying and path in ok:
+        if varying:
             up = path.rpartition("/")[0]
             credit[up] = credit.get(up, 0) + varying
-    named = {p: c for p, c in credit.items() if re.search(r"/(article|main)\b", p)}
-    best = named or credit
+    return credit
+
+
+def chosen(credit: dict[str, int]) -> str | None:
+    """The content element's path by the credits of all pages."""
+    best = {p: c for p, c in credit.items() if re.search(r"/(article|main)\b", p)} or credit
     if not best:
         return None
     path = max(best, key=lambda p: (best[p], p))
@@ -337,6 +336,24 @@ def induce(pages: list[str | None]) -> str | None:
     return top[0] if top else path
 
 
+def induce(pages: list[str | None]) -> str | None:
+    """The wrapper of all pages of one host: the path of its content element.
+
+    Varying text of matched slots is credited to the parents of the slots' blocks;
+    <article> and <main> win over others that are not within them.  None if no text
+    varies (a lone page, or copies of one page).
+    """
+    different = {p for p in pages if p}
+    if len(different) < 2:
+        return None
+    middle = _middle(list(different))
+    tree, credit = _tree(middle), {}
+    for p in different - {middle}:
+        for path, c in credits(tree, p).items():
+            credit[path] = credit.get(path, 0) + c
+    return chosen(credit)
+
+
 def _walk(root: Node) -> Iterator[tuple[str, Node]]:
     """(path, element) of all elements that class words alone may drop."""
     stack = [("", root)]
@@ -353,42 +370,57 @@ def _whole(node: Node) -> str:
     return "\n".join(blocks(node))
 
 
-def template(pages: list[str | None], wrapper: str | None) -> tuple[list[str], list[str]]:
-    """(constant, varying) within the content element of pages of one host: the blocks
-    (path, tab, text) that are the same on all of at least three different pages, and
-    the paths of marked elements on several pages whose text varies.
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()[:8], "little", signed=True)
+
+
+def seen(page: str, wrapper: str | None) -> tuple[dict[int, int], list[tuple[str, int]]]:
+    """Within the content element of a page: digest and size of each block (path, tab,
+    text), and (path, digest of the text) of the marked elements."""
+    own: dict[int, int] = {}
+    said: list[tuple[str, int]] = []
+    for path, node in _walk(spare(parse(page))):
+        inside = bool(wrapper and path.startswith(wrapper + "/")) or _in_article(node)
+        if inside and (text := _whole(node)):
+            own[_digest(f"{path}\t{text}")] = len(text)
+        if inside and marked(node):
+            said.append((path, _digest("\n".join(blocks(node)))))
+    return own, said
+
+
+def template(pages: list[str | None], wrapper: str | None) -> tuple[list[int], list[str]]:
+    """(constant, varying) within the content element of all pages of one host: the
+    digests of blocks (path, tab, text) that are the same on nine tenths of at least three
+    different pages, and the paths of marked elements whose text varies.
 
-    If constant blocks are most of the content, the pages are near copies and none is
-    taken for template.
+    If constant blocks are most of the content of a page, the pages are near copies and
+    none is taken for template.
     """
-    trees = _different(pages)
-    found: list[set[str]] = []
-    said: dict[str, list[str]] = {}
-    for t in trees:
-        own: set[str] = set()
-        for path, node in _walk(spare(parse(t))):
-            inside = bool(wrapper and path.startswith(wrapper + "/")) or _in_article(node)
-            if inside and (text := _whole(node)):
-                own.add(f"{path}\t{text}")
-            if inside and marked(node):
-                said.setdefault(path, []).append("\n".join(blocks(node)))
-        found.append(own)
-    varying = sorted(p for p, texts in said.items() if len(texts) > 1 and len(set(texts)) > 1)
-    constant = set.intersection(*found) if len(found) >= 3 else set()
-    size = lambda keys: sum(len(k.partition("\t")[2]) for k in keys)
-    if any(2 * size(constant) > size(own) for own in found):
-        constant = set()
-    return sorted(constant), varying
-
-
-def extract(page: str | None, wrapper: str | None = None, constant: list[str] = (), varying: list[str] = ()) -> str:
+    counts: dict[int, list[int]] = {}
+    said: dict[str, set[int]] = {}
+    different = {p for p in pages if p}
+    least = None
+    for p in different:
+        own, marks = seen(p, wrapper)
+        least = min(sum(own.values()), sum(own.values()) if least is None else least)
+        for key, size in own.items():
+            counts.setdefault(key, [0, size])[0] += 1
+        for path, text in marks:
+            said.setdefault(path, set()).add(text)
+    constant = [k for k, (n, _) in counts.items() if len(different) >= LEAST and 10 * n >= TENTHS * len(different)]
+    if 2 * sum(counts[k][1] for k in constant) > (least or 0):
+        constant = []
+    return sorted(constant), sorted(p for p, texts in said.items() if len(texts) > 1)
+
+
+def extract(page: str | None, wrapper: str | None = None, constant: list[int] = (), varying: list[str] = ()) -> str:
     """The main text of a page: blocks joined by newlines, "" if there is none.
     ``constant`` and ``varying`` are those of :func:`template`."""
     root = spare(parse(page))
     if constant or varying:
         for path, node in list(_walk(root)):
             node.spared = node.spared or path in varying
-            if constant and (text := _whole(node)) and f"{path}\t{text}" in constant:
+            if constant and (text := _whole(node)) and _digest(f"{path}\t{text}") in constant:
                 node.constant = True
     found: list[Node] = []
     named: list[Node] = []
@@ -421,26 +453,85 @@ def host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _summed(rows: DataFrame, fn: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
+    """``fn`` over the rows' values, which yields (host, ...) rows of the schema."""
+    fields = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [{"string": pa.string(), "long": pa.int64()}[f.split()[1]] for f in schema.split(", ")]
+        for batch in batches:
+            out = list(fn(zip(*([x.as_py() for x in c] if k != 1 else c for k, c in enumerate(batch.columns)))))
+            columns = zip(*out) if out else [()] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], fields)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _beside(rows: DataFrame, few: DataFrame, *on: str) -> DataFrame:
+    """``rows`` joined with a materialised table that is broadcast if its size allows."""
+    longest = few.agg(F.max(F.length(F.to_json(F.struct(*few.columns))))).first()[0] or 0
+    return rows.join(measured(few, max(64, 4 * longest)), list(on))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper, constant, varying`` from a hash sample of about ``SAMPLE`` pages of each host.
+    """``host, wrapper, constant, varying`` of each host with several different pages, from
+    all of them.
 
-    The sample's bound is a share of each host's count, so no host is gathered whole.
+    Each page gives its credits, blocks and marked elements alone, beside the middle page
+    of its host; they are sums, least and greatest values, so no host is gathered.
     """
-    keyed = pages.select(host(F.col("url")).alias("host"), F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)).alias("draw"), F.col("page_id").alias("_id"))
-    counts = measured(stable(keyed.groupBy("host").agg(F.count("*").alias("n"))), 96)
-    picked = keyed.join(counts, "host").where(F.col("draw") < F.lit(float(SAMPLE << 30)) / F.col("n")).select("host", "_id")
-    picked = stable(picked.distinct())
-    light = measured(picked.select("_id").distinct(), 32)
-    sample = pages.join(light, F.col("page_id") == F.col("_id"), "left_semi").select(host(F.col("url")).alias("host"), "html")
-
-    def run(key, batch):
-        html = batch.column("html").to_pylist()
-        way = induce(html)
-        constant, varying = template(html, way)
-        texts = lambda x: pa.array([x], pa.list_(pa.string()))
-        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": pa.array([way], pa.string()), "constant": texts(constant), "varying": texts(varying)})
-
-    return sample.groupBy("host").applyInArrow(run, "host string, wrapper string, constant array<string>, varying array<string>")
+    keyed = pages.where("html <> ''").select(host(F.col("url")).alias("host"), "html", F.md5("html").alias("mark"))
+    light = stable(keyed.groupBy("host", "mark").agg(F.count("*").alias("k"), F.max(F.length("html")).alias("size")))
+    hosts = stable(light.groupBy("host").agg(F.count("*").alias("pages"), F.expr("percentile_disc(0.5) within group (order by size)").cast("long").alias("mid")).where("pages > 1"))
+    middle = stable(_beside(light, hosts, "host").where("size = mid").groupBy("host", "pages").agg(F.min("mark").alias("mark")))
+    middle = stable(_beside(keyed, middle, "host", "mark").dropDuplicates(["host"]).select("host", "pages", F.col("mark").alias("own"), F.col("html").alias("middle")))
+    copies = measured(stable(light.where("k > 1").select("host", "mark")), 128)
+    alone = keyed.join(copies, ["host", "mark"], "left_anti")
+    different = alone.unionByName(keyed.join(copies, ["host", "mark"], "left_semi").dropDuplicates(["host", "mark"]))
+    rows = _beside(different, middle, "host")
+
+    def credit(rows):
+        tree = functools.lru_cache(64)(_tree)
+        sums: dict = {}
+        for h, page, mid in rows:
+            for path, c in credits(tree(mid), page.as_py()).items():
+                sums[h, path] = sums.get((h, path), 0) + c
+        return ((*key, c) for key, c in sums.items())
+
+    given = _summed(rows.where("mark <> own").select("host", "html", "middle"), credit, "host string, path string, credit long")
+    given = given.groupBy("host", "path").agg(F.sum("credit").alias("credit"))
+
+    def choose(key, batch):
+        way = chosen(dict(zip(batch.column("path").to_pylist(), batch.column("credit").to_pylist())))
+        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": pa.array([way], pa.string())})
+
+    ways = given.groupBy("host").applyInArrow(choose, "host string, wrapper string")
+    ways = stable(middle.select("host", "pages").join(ways, "host", "left"))
+
+    def parts(rows):
+        found: dict = {}
+        for h, page, wrapper, pages in rows:
+            own, marks = seen(page.as_py(), wrapper)
+            if pages >= LEAST:
+                for key, size in own.items():
+                    found.setdefault((h, None, key), [0, size, size])[0] += 1
+                whole = found.setdefault((h, None, None), [0, sum(own.values()), 0])
+                whole[1] = min(whole[1], sum(own.values()))
+            for path, text in marks:
+                at = found.setdefault((h, path, None), [0, text, text])
+                at[1], at[2] = min(at[1], text), max(at[2], text)
+        return ((*key, *x) for key, x in found.items())
+
+    found = _summed(_beside(different, ways, "host").select("host", "html", "wrapper", "pages"), parts, "host string, path string, key long, n long, low long, high long")
+    found = found.groupBy("host", "path", "key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    found = stable(_beside(found, ways.select("host", "pages"), "host").where(f"key is null and (path is null or low <> high) or 10 * n >= {TENTHS} * pages"))
+    made = found.groupBy("host").agg(
+        F.collect_list("key").alias("constant"), F.sum(F.expr("if(key is not null, low, 0)")).alias("size"),
+        F.min(F.expr("if(key is null and path is null, low, null)")).alias("least"), F.collect_list("path").alias("varying"),
+    )
+    none = F.array().cast("array<long>")
+    made = made.select("host", F.when(F.expr("2 * size > least"), none).otherwise(F.col("constant")).alias("constant"), "varying")
+    return ways.join(made, "host", "left").select("host", "wrapper", "constant", "varying")
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long"

@@ -176,3 +176,21 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         common.shared_dir(Session())
+
+
+def test_wrapper_counts_all_pages_of_a_host(spark):
+    """40 pages: blocks on nine tenths are template, one on a third is not, and a marked box
+    that differs on one page alone stays there; equal to the functions on all pages."""
+    def page(k):
+        notice = "<div class=note-x><p>We use your data</p></div>" if k % 20 else ""
+        tip = "<div class=tipped><p>Only on a third</p></div>" if k % 3 == 0 else ""
+        box = f"<div class='related x'><p>{'Odd part of page 7' if k == 7 else 'Boxed words'}</p></div>"
+        return f"<body><div id=story><h1>Title {k} of many</h1><p>{'word ' * (20 + k)}{k}</p>{notice}{tip}{box}</div></body>"
+
+    html = [page(k) for k in range(40)]
+    rows = [(i, "https://many.example/%d" % i, h) for i, h in enumerate(html + html[:9])]
+    got = {r.page_id: r.text for r in wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    way = wrapper.induce(html)
+    made = list(map(frozenset, wrapper.template(html, way)))
+    assert got == {i: wrapper.extract(h, way, *made) for i, _, h in rows}
+    assert not any("your data" in t for t in got.values()) and "Only on a third" in got[3] and "Odd part of page 7" in got[7] and "Boxed" not in got[8]
