@@ -23,7 +23,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, map_arrow, measured, stable
+from .common import lower_words, map_arrow, measured, partitions, stable
 from .components import components
 from .simhash import CONFIRM_SHINGLE, _confirmed, shingle_hashes
 
@@ -179,11 +179,37 @@ def _order(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return known[by], n[by]
 
 
+def _several(nodes: DataFrame) -> DataFrame:
+    """``(at, k)`` of the prefixes' elements that k > 1 nodes have.  Elements go out by
+    their remainder, all of a batch in one row, and are counted in arrays."""
+    tasks = partitions(nodes.sparkSession)
+    groups = 4 * tasks
+
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.column(0).flatten().to_numpy().view(np.uint64)
+        group = (at % np.uint64(groups)).astype(np.int64)
+        at, ends = at[np.argsort(group, kind="stable")], np.cumsum(np.bincount(group, minlength=groups))
+        some = np.flatnonzero(np.diff(ends, prepend=0))
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array([at[(ends[g - 1] if g else 0) : ends[g]].tobytes() for g in some], pa.binary())], ["g", "at"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for g, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(g, []).append(at)
+        for g in sorted(held):
+            at, k = np.unique(np.frombuffer(b"".join(held.pop(g)), np.int64), return_counts=True)
+            if (k > 1).any():
+                yield pa.RecordBatch.from_arrays([pa.array(at[k > 1]), pa.array(k[k > 1])], ["at", "k"])
+
+    return map_arrow(nodes.select("first"), deal, "g long, at binary").repartition(tasks, "g").mapInArrow(count, "at long, k long")
+
+
 def _shared(nodes: DataFrame) -> DataFrame:
     """``(at, t, n, place, hot)`` of the prefixes' elements that several nodes have;
     ``hot`` where more than ``FEW`` have it."""
     keyed = nodes.select("t", "n", F.posexplode("first").alias("place", "at"))
-    counts = stable(nodes.select(F.explode("first").alias("at")).groupBy("at").agg(F.count("*").alias("k")).where("k > 1"))
+    counts = stable(_several(nodes))
     if counts.count() * 16 > HELD_BYTES:
         return keyed.join(counts, "at").select("at", "t", "n", "place", (F.col("k") > FEW).alias("hot"))
     held = counts.toArrow()
@@ -214,9 +240,13 @@ def alike(docs: DataFrame) -> DataFrame:
     known, counts = _order(docs)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t.as_py()) for t in batch.column(2)]  # one text at a time is held
-        first = [prefix(s, known, counts).view(np.int64) for s in sets]
-        columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())]
+        sizes, first, bits = [], [], []
+        for text in batch.column(2):  # one set at a time is held
+            own = shingle_set(text.as_py())
+            sizes.append(len(own))
+            first.append(prefix(own, known, counts).view(np.int64) if len(own) else own.view(np.int64))
+            bits.append(bitmap(own) if len(own) else None)
+        columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["t", "rep", "n", "first", "bits"])
 
     keyed = docs.withColumn("t", key)
