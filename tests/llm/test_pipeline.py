@@ -5,6 +5,7 @@ import os
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import tiktoken
 from test_operators import corpus
@@ -111,3 +112,34 @@ def test_near_duplicates_stage_links_all_similar_texts(spark, monkeypatch, few,
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect()}
     assert kept == {i for i, p in enumerate(part) if p == i}
+
+
+def test_short_batches(spark, tmp_path, monkeypatch):
+    """No stage leaves longer batches than it says; ``run`` puts the caller's setting back."""
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    longest = lambda: max(r.n for r in spark.range(0, 2500, 1, 1).mapInArrow(lengths, "n long").collect())
+    sf = written(spark, tmp_path, [(i, t, "en", "s", len(t)) for i, t in enumerate(corpus(9, 5))], [(1, "x")])
+    docs, setting = spark.read.parquet(f"{sf}/documents.parquet"), corpus_pipeline.BATCH_SETTING
+    own, same = spark.conf.get(setting), corpus_pipeline.short_batches(lambda spark, docs, sf_dir: docs)
+    try:
+        assert longest() == 2500
+        same(spark, docs, sf)
+        assert longest() == corpus_pipeline.BATCH_ROWS
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+        spark.conf.set(setting, "2")  # a smaller one is the caller's
+        same(spark, docs, sf)
+        assert spark.conf.get(setting) == "2"
+        spark.conf.set(setting, own)
+        prints = lambda: {r.doc_id: r.fp for r in simhash.fingerprints(docs).collect()}
+        want = prints()
+        spark.conf.set(setting, "2")
+        assert prints() == want and len(want) == 9
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("same", same)])
+        spark.conf.set(setting, own)
+        assert corpus_pipeline.run(spark, sf).count() == 9 and spark.conf.get(setting) == own
+    finally:
+        spark.conf.set(setting, own)
