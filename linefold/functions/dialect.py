@@ -10,6 +10,8 @@ from __future__ import annotations
 class Spark:
     name = "spark"
     double = "double"
+    #: Whether a plan may name Arrow kernels.
+    kernels = False
 
     @staticmethod
     def replace(x: str, pattern: str, by: str = "") -> str:
@@ -119,6 +121,11 @@ class Spark:
         """Rows (columns, pos from 1, ch) of every character of a text."""
         return f"select {columns}, pos + 1 as pos, ch from {source} lateral view posexplode(split({text}, '')) as pos, ch where ch <> ''"
 
+    @classmethod
+    def frequencies(cls, source: str) -> str:
+        """Rows (ch, freq) of the characters of ``source(line_id, t)``."""
+        return f"select ch, count(*) as freq from ({cls.chars('(' + source + ')', 'line_id')}) group by ch"
+
     @staticmethod
     def half_even(x: str, digits: int) -> str:
         return f"bround({x}, {digits})"
@@ -171,6 +178,52 @@ class Spark:
           lateral view explode(array(trim(regexp_replace(translate(piece, '{src}', '{dst}'), r'[{blank}]+', ' ')))) as t"""
 
 
+class Arrow(Spark):
+    """Spark's spelling for registered queries: what is asked of every character goes
+    through kernels over Arrow batches, named in comments that ``catalog.query`` resolves."""
+
+    kernels = True
+
+    @staticmethod
+    def kernel(name: str, rows: str) -> str:
+        """A relation: what the kernel gives for the rows."""
+        return f"/*in {name}*/{rows}/*out*/"
+
+    @classmethod
+    def pieces(cls, src: str, dst: str, lower: bool, blank: str, *also: str, kept: bool = False) -> str:
+        name = " ".join(["kept_lines" if kept else "lines" if lower else "plain_lines", *also])
+        return f"select * from {cls.kernel(name, 'select /*spread*/ doc_id, source, lang, text from documents where text is not null')}"
+
+    @staticmethod
+    def earliest(source: str, keys: str, order: str, payload: str = "") -> str:
+        """Groups by a hash first: the aggregate sorts, and texts share their first bytes."""
+        kept = [c.strip() for c in f"{order}, {payload}".split(",") if c.strip()]
+        return f"select {keys}, {', '.join(f'm.{c}' for c in kept)} from (select {keys}, min(struct({', '.join(kept)})) as m from ({source}) group by xxhash64({keys}), {keys})"
+
+    @classmethod
+    def frequencies(cls, source: str) -> str:
+        return f"select ch, sum(n) as freq from {cls.kernel('characters', f'select t from ({source})')} group by ch"
+
+    @classmethod
+    def _with_alphabet(cls, kernel: str, lines: str, charset: str) -> str:
+        """The kernel keeps the alphabet that the first row of each partition brings."""
+        first = "monotonically_increasing_id() % 8589934592 = 0"
+        return cls.kernel(kernel, f"select line_id, t, case when {first} then v end as v from (select line_id, t, {cls._alphabet(charset)} as v from ({lines}))")
+
+    @classmethod
+    def encoded(cls, lines: str, charset: str) -> str:
+        return f"select * from {cls._with_alphabet('encoded', lines, charset)}"
+
+    @classmethod
+    def decoded(cls, lines: str, charset: str) -> str:
+        """The text goes with the answer."""
+        return f"select line_id, same, t from {cls._with_alphabet('decoded', lines, charset)}"
+
+    @classmethod
+    def from_ids(cls, lines: str, charset: str) -> str:
+        return f"select * from {cls._with_alphabet('from_ids', lines, charset)}"
+
+
 class Duck(Spark):
     name = "duckdb"
 

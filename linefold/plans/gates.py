@@ -17,6 +17,7 @@ REPORTED = {"anusvara": "ं", "visarga": "ः", "chandrabindu": "ँ", "avagrah
 # What must be in a rendered text if it is in the original.
 PRESERVED = ["रू.", "वि. सं", "।", "॥"]
 DIGIT_RATIO = 0.80
+CHARSET_OK = "blank + ascii_digits + latin_letters + unencodable + mismatches = 0 and devanagari_digits and danda and double_danda and halant"
 
 
 def odd(d, name: str, n: int, key: str = "line_id") -> str:
@@ -109,11 +110,23 @@ def charset(d, labels: str, chars: str) -> str:
     digits = f"count(distinct case when ch in ({', '.join(repr(c) for c in ln.DIGITS)}) then ch end) = 10"
     present = {"devanagari_digits": digits, "danda": has("।"), "double_danda": has("॥"), "halant": has("्"), **{k: has(c) for k, c in REPORTED.items()}}
     held = f"select count(*) as num_characters, {', '.join(f'{x} as {k}' for k, x in present.items())} from ({chars})"
+    if d.kernels:
+        return _charset_at_once(d, labels, chars, present)
     texts = f"select count(*) as n, count(*) filter (where trim(t) = '') as blank, count(*) filter (where {d.like('t', '[0-9]')}) as ascii_digits, count(*) filter (where {d.like('t', '[a-zA-Z]')}) as latin_letters from ({labels})"
-    unknown = f"select count(*) as unencodable from (select distinct ch from ({d.chars('(' + labels + ')', 'line_id')})) c left join (select ch as known from ({chars})) k on c.ch = k.known where known is null"
+    unknown = f"select count(*) as unencodable from ({ln.distinct_chars(d, labels)}) c left join (select ch as known from ({chars})) k on c.ch = k.known where known is null"
     wrong = f"select count(*) filter (where not same) as mismatches from ({d.decoded(labels, chars)})"
-    ok = "blank + ascii_digits + latin_letters + unencodable + mismatches = 0 and devanagari_digits and danda and double_danda and halant"
-    return f"select *, {ok} as passed from ({texts}) join ({held}) on 1 = 1 join ({unknown}) on 1 = 1 join ({wrong}) on 1 = 1"
+    return f"select *, {CHARSET_OK} as passed from ({texts}) join ({held}) on 1 = 1 join ({unknown}) on 1 = 1 join ({wrong}) on 1 = 1"
+
+
+def _charset_at_once(d, labels: str, chars: str, present: dict[str, str]) -> str:
+    """The same from two passes: texts with what decoding gives, and the characters of
+    both sides.  ``labels(t)`` needs no ids."""
+    texts = f"""select count(*) as n, count(*) filter (where trim(t) = '') as blank, count(*) filter (where {d.like('t', '[0-9]')}) as ascii_digits,
+      count(*) filter (where {d.like('t', '[a-zA-Z]')}) as latin_letters, count(*) filter (where not same) as mismatches from ({d.decoded(f"select '' as line_id, t from ({labels})", chars)})"""
+    both = f"select k.ch, c.ch as asked from ({d.frequencies(labels)}) c full outer join ({chars}) k on c.ch = k.ch"
+    held = f"select count(ch) as num_characters, {', '.join(f'{x} as {k}' for k, x in present.items())}, count(*) filter (where ch is null) as unencodable from ({both})"
+    counts = ", ".join(["n, blank, ascii_digits, latin_letters, num_characters", *present, "unencodable, mismatches"])
+    return f"select {counts}, {CHARSET_OK} as passed from ({texts}) join ({held}) on 1 = 1"
 
 
 def generated(d) -> str:
@@ -153,6 +166,6 @@ PLANS = {
     "validate_core": lambda d: core(d, stored(d)),
     "qa_audit": lambda d: audit(d, audited(d)),
     "manifest_qa": lambda d: manifest(d, manifest_rows(d)),
-    "charset_gate": lambda d: charset(d, f"select line_id, t from ({ln.labels(d)})", f"select char_id, ch from ({ln._charset(d)})"),
+    "charset_gate": lambda d: charset(d, f"select t from ({ln.labels(d, False)})" if d.kernels else f"select line_id, t from ({ln.labels(d)})", f"select char_id, ch from ({ln._charset(d)})"),
     "coverage_checks": lambda d: coverage_counts(d, generated(d), f"select raw as t from ({coverage.filled(d)})", ln.kept(d)),
 }
