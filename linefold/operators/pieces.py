@@ -7,6 +7,7 @@ the lines in which a marker of the last rules occurs are looked at one by one.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ..plans import lines as ln
+from ..plans import loader
 
 #: Bytes of text that are held as code points at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -338,6 +340,28 @@ def from_ids(rows: DataFrame) -> DataFrame:
     return by_alphabet(rows, "line_id string, back string", give)
 
 
+def first_draws(rows: DataFrame) -> DataFrame:
+    """For ``rows(line_id, wanted)`` the first of ``loader.TRIES`` digests whose difficulty
+    is the wanted one (``hit``, null if none), and that or the last digest ``h``.  The
+    search ends with the first hit; in SQL all digests are made first."""
+    def search(key: str, wanted: str) -> tuple[int | None, str]:
+        start = hashlib.md5(f"{key}|".encode(), usedforsecurity=False)
+        for i in range(loader.TRIES):
+            digest = start.copy()
+            digest.update(b"%d" % i)
+            h = digest.hexdigest()
+            if loader.drawn_difficulty(h) == wanted:
+                return i, h
+        return None, h
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [search(k, w) for k, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([i for i, _ in found], pa.int64()), pa.array([h for _, h in found], pa.string())], ["line_id", "wanted", "hit", "h"])
+
+    return rows.mapInArrow(run, "line_id string, wanted string, hit long, h string")
+
+
 #: Kernels that a plan may name: rows in, rows out.
 KERNELS: dict[str, Callable[..., DataFrame]] = {
     "lines": lambda rows, *also: pieces(rows, True, list(also)),
@@ -347,4 +371,5 @@ KERNELS: dict[str, Callable[..., DataFrame]] = {
     "encoded": encoded,
     "decoded": decoded,
     "from_ids": from_ids,
+    "first_draws": first_draws,
 }
