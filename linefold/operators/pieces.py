@@ -340,24 +340,38 @@ def from_ids(rows: DataFrame) -> DataFrame:
     return by_alphabet(rows, "line_id string, back string", give)
 
 
+def difficulties(digests: np.ndarray) -> np.ndarray:
+    """``loader.difficulty`` of digests, 16 bytes a row: 0 easy, 1 medium, 2 hard."""
+    active, hard = np.zeros(len(digests), np.int64), np.zeros(len(digests), bool)
+    for i, names in enumerate(loader.STAGES.values()):
+        high, middle, low = digests[:, 3 * i : 3 * i + 3].astype(np.int64).T
+        drawn = (high << 16 | middle << 8 | low) % len(names)
+        active += np.array([n != "" for n in names])[drawn]
+        hard |= np.array([n in loader.HARD for n in names])[drawn]
+    return np.where(hard & (active >= 3), 2, np.where(active >= 2, 1, 0))
+
+
 def first_draws(rows: DataFrame) -> DataFrame:
     """For ``rows(line_id, wanted)`` the first of ``loader.TRIES`` digests whose difficulty
-    is the wanted one (``hit``, null if none), and that or the last digest ``h``.  The
-    search ends with the first hit; in SQL all digests are made first."""
-    def search(key: str, wanted: str) -> tuple[int | None, str]:
-        start = hashlib.md5(f"{key}|".encode(), usedforsecurity=False)
-        for i in range(loader.TRIES):
-            digest = start.copy()
-            digest.update(b"%d" % i)
-            h = digest.hexdigest()
-            if loader.drawn_difficulty(h) == wanted:
-                return i, h
-        return None, h
-
+    is the wanted one (``hit``, null if none), and that or the last digest ``h``.  Only
+    rows without a hit are drawn again; in SQL all digests are made first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [search(k, w) for k, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([i for i, _ in found], pa.int64()), pa.array([h for _, h in found], pa.string())], ["line_id", "wanted", "hit", "h"])
+            keys = [f"{k}|".encode() for k in batch.column(0).to_pylist()]
+            wanted = np.array([["easy", "medium", "hard"].index(w) for w in batch.column(1).to_pylist()])
+            hits, held = np.full(len(keys), -1), np.zeros((len(keys), 16), np.uint8)
+            left = np.arange(len(keys))
+            for i in range(loader.TRIES):
+                if not len(left):
+                    break
+                end = b"%d" % i
+                drawn = np.frombuffer(b"".join([hashlib.md5(keys[k] + end, usedforsecurity=False).digest() for k in left]), np.uint8).reshape(-1, 16)
+                held[left] = drawn
+                hit = difficulties(drawn) == wanted[left]
+                hits[left[hit]] = i
+                left = left[~hit]
+            cols = [batch.column(0), batch.column(1), pa.array(hits, pa.int64(), mask=hits < 0), pa.array([h.tobytes().hex() for h in held], pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, ["line_id", "wanted", "hit", "h"])
 
     return rows.mapInArrow(run, "line_id string, wanted string, hit long, h string")
 

@@ -48,13 +48,6 @@ def composed(d) -> str:
     return d.once(tried, h=f"md5(concat(line_id, '|', cast(coalesce(hit, {TRIES - 1}) as varchar(3))))")
 
 
-def drawn_difficulty(h: str) -> str:
-    """``difficulty`` of a digest's text, outside of SQL."""
-    names = [of[int(h[6 * i : 6 * i + 6], 16) % len(of)] for i, of in enumerate(STAGES.values())]
-    n = len(names) - names.count("")
-    return "hard" if n >= 3 and not HARD.isdisjoint(names) else "medium" if n >= 2 else "easy"
-
-
 def stage_name(d, i: int) -> str:
     names = list(STAGES.values())[i]
     return f"case {part(d, 'h', i)} {' '.join(f'when {k} then {n!r}' for k, n in enumerate(names) if n)} else 'none' end"
