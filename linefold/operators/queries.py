@@ -28,8 +28,8 @@ def rendered_lines(run):
     """Labels drawn in a font that lacks some characters, sizes drawn by plan."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        drawn = raster.render(run(lines.PLANS["label_rows"])(spark, sf_dir), font=3)
-        return drawn.select("line_id", "renderer", "reason", "height", "width", F.sha2("data", 256).alias("pixels"))
+        drawn = raster.render(run(lambda d: f"select line_id, t from ({lines.labels(d)})")(spark, sf_dir), font=3, digest=True)
+        return drawn.select("line_id", "renderer", "reason", "height", "width", "pixels")
 
     return query
 
