@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from . import coverage
 from . import lines as ln
-from .rules import named
+from .rules import images, named
 
 # Names of the checks of a stored row, and further characters whose
 # presence in a vocabulary is reported.
@@ -99,8 +99,15 @@ def manifest(d, source: str) -> str:
 
 def manifest_rows(d) -> str:
     """The fixture's manifest: images listed twice, missing or without a split."""
-    path = f"case when {odd(d, 'twice', 50)} then concat(line_id, '.png') else image_path end"
-    return f"select line_id, variant_index, {path} as image_path, case when {odd(d, 'split', 900)} then ' ' else split end as split, case when {odd(d, 'empty', 70)} then '' when {odd(d, 'odd', 70)} then concat(t, '5x_') else t end as text, not {odd(d, 'gone', 30)} as present from ({named(d)})"
+    wrong = {k: odd(d, k, n) for k, n in {"twice": 50, "split": 900, "empty": 70, "odd": 70, "gone": 30}.items()}
+    rows = named(d)
+    if d.kernels:
+        # What depends on the label alone is drawn once, not for each variant.
+        drawn = d.once(ln.labels(d), **{f"is_{k}": x for k, x in wrong.items()})
+        wrong = {k: f"is_{k}" for k in wrong}
+        rows = images(d, drawn, "".join(f", {x}" for x in wrong.values()))
+    path = f"case when {wrong['twice']} then concat(line_id, '.png') else image_path end"
+    return f"select line_id, variant_index, {path} as image_path, case when {wrong['split']} then ' ' else split end as split, case when {wrong['empty']} then '' when {wrong['odd']} then concat(t, '5x_') else t end as text, not {wrong['gone']} as present from ({rows})"
 
 
 def charset(d, labels: str, chars: str) -> str:
